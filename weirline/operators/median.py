@@ -2,20 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _DIGITS = 5  # decimal digits settled per pass
 
 
+def _div(value: Column, by: int) -> Column:
+    """Whole-number quotient cut towards zero; keeps the order of values."""
+    return F.call_function("div", value, F.lit(by).cast("bigint"))
+
+
 def exact_median(df: DataFrame, column: str) -> DataFrame:
     """One row, one column ``median``: interpolated, NULLs skipped.
 
     Values are counted once (map-side combined, so a hot value is one row per
     task). Both middle ranks are then narrowed digit block by digit block. A
-    pass sorts the counts of at most two blocks, each with at most 10**5
-    distinct prefixes (the first pass: 2 * 10**5, both signs), which the
+    pass sorts the counts of at most two blocks, each with at most 2 * 10**5
+    distinct prefixes (both signs share the block around zero), which the
     decimal's precision proves; the values themselves stay distributed.
     """
     dtype = df.schema[column].dataType
@@ -33,27 +38,26 @@ def exact_median(df: DataFrame, column: str) -> DataFrame:
     blocks = None
     for level in reversed(range(levels)):
         width = 10 ** (_DIGITS * level)
-        prefix = F.floor(F.col("_u") / F.lit(width)) if width > 1 else F.col("_u")
-        tallies = counts.withColumn("_p", prefix.cast("bigint"))
+        tallies = counts.withColumn("_p", _div(F.col("_u"), width))
         if blocks is None:
             tallies = tallies.groupBy("_p").agg(F.sum("_n").alias("_n"))
-            total = F.sum("_n").over(Window.partitionBy())
+            tallies = tallies.withColumn("_parent", F.lit(0).cast("bigint"))
+            total = F.sum("_n").over(Window.partitionBy("_parent"))
             tallies = tallies.select(
                 "_p",
                 "_n",
-                F.floor((total - 1) / 2).alias("_lo"),
-                F.floor(total / 2).alias("_hi"),
+                F.shiftright(total - 1, 1).alias("_lo"),
+                F.shiftright(total, 1).alias("_hi"),
                 F.lit(0).cast("bigint").alias("_before"),
-                F.lit(0).cast("bigint").alias("_parent"),
+                "_parent",
             )
         else:
             # At most two rows: the blocks holding the two middle ranks.
             parents = F.broadcast(
                 blocks.select(F.col("_p").alias("_parent"), "_lo", "_hi", "_before")
             )
-            parent_of = F.floor(F.col("_p") / F.lit(10**_DIGITS)).cast("bigint")
             tallies = (
-                tallies.withColumn("_parent", parent_of)
+                tallies.withColumn("_parent", _div(F.col("_p"), 10**_DIGITS))
                 .join(parents, "_parent")
                 .groupBy("_p", "_parent", "_lo", "_hi", "_before")
                 .agg(F.sum("_n").alias("_n"))
