@@ -17,9 +17,16 @@ def nan_to_null(df: DataFrame, name: str) -> Column:
     return col
 
 
-def to_count(col: Column) -> Column:
-    """Number text such as ``7267.9`` to a whole number, cut towards zero."""
-    return col.cast("decimal(38,6)").cast("bigint")
+def to_count(df: DataFrame, name: str) -> Column:
+    """A whole number; text such as ``7267.9`` is cut towards zero.
+
+    Text goes through an exact decimal, so neither long digit runs nor a long
+    fraction are rounded on the way.
+    """
+    col = nan_to_null(df, name)
+    if isinstance(df.schema[name].dataType, T.StringType):
+        col = col.cast("decimal(38,18)")
+    return col.cast("bigint")
 
 
 def ratio(numerator: Column, denominator: Column) -> Column:

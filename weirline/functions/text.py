@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Texts that stand for a missing value in the raw extracts.
@@ -65,11 +65,23 @@ def strip_title(col: Column) -> Column:
     return F.array_join(F.transform(runs, F.initcap), "")
 
 
-def canonical_label(col: Column, labels: Mapping[str, str]) -> Column:
-    """Map strip+lower spellings to labels; an unknown one stays lower-case."""
-    key = F.lower(strip(col))
+def strip_lower(col: Column) -> Column:
+    return F.lower(strip(col))
+
+
+def label_of(key: Column, labels: Mapping[str, str]) -> Column:
+    """The label of a strip+lower spelling; an unknown spelling stays as it is."""
     expr = None
     for spelling, label in labels.items():
         hit = key == spelling
         expr = F.when(hit, label) if expr is None else expr.when(hit, label)
     return key if expr is None else expr.otherwise(key)
+
+
+def canonical_label(df: DataFrame, column: str, labels: Mapping[str, str]) -> DataFrame:
+    """Canonicalise a category column.
+
+    Two steps, so that a row is folded once and not once per known label.
+    """
+    df = df.withColumn(column, strip_lower(F.col(column)))
+    return df.withColumn(column, label_of(F.col(column), labels))

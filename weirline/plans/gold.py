@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weirline.functions.dates import date_parts, month_start
@@ -156,20 +156,21 @@ def fact_targets(targets: DataFrame, settings: Settings = Settings()) -> DataFra
 # -- actual against target --------------------------------------------------
 
 
+def _with_achievement(rows: DataFrame) -> DataFrame:
+    actual, target = F.col("actual_revenue"), F.col("target_revenue")
+    return rows.withColumns(
+        {"variance": actual - target, "achievement_pct": round_ratio(actual, target, 2)}
+    )
+
+
 def against_target(monthly_sales: DataFrame, targets: DataFrame) -> DataFrame:
     """Add target, variance and achievement to month x region rows with ``revenue``.
 
     A month without a target is kept, with NULL target, variance and ratio.
     """
-    actual, target = F.col("actual_revenue"), F.col("target_revenue")
-    return (
-        monthly_sales.withColumnRenamed("revenue", "actual_revenue")
-        .join(targets.select("month", "region", "target_revenue"), ["month", "region"], "left")
-        .withColumns(
-            {
-                "variance": actual - target,
-                "achievement_pct": round_ratio(actual, target, 2),
-            }
+    return _with_achievement(
+        monthly_sales.withColumnRenamed("revenue", "actual_revenue").join(
+            targets.select("month", "region", "target_revenue"), ["month", "region"], "left"
         )
     )
 
@@ -190,6 +191,52 @@ def fact_revenue_monthly(sales: DataFrame, targets: DataFrame) -> DataFrame:
     return against_target(totals, targets).select(*MONTHLY_COLUMNS)
 
 
+SALES_SUMS = (
+    "revenue",
+    "grains",
+    "avg_discount_sum",
+    "lines",
+    "discount_sum",
+    "margin_sum",
+    "margin_lines",
+)
+
+
+def sales_with_targets(sales: DataFrame, targets: DataFrame) -> DataFrame:
+    """``against_target`` rows that also carry their region's revenue and target.
+
+    Sales and targets are stacked and regrouped instead of joined twice (by
+    month and by region), so each side is computed once. The windows run over a
+    region's months. As in a join, a NULL key matches nothing.
+    """
+    sums = [c for c in SALES_SUMS if c in sales.columns]
+    stacked = sales.select("month", "region", *sums, F.lit(1).alias("_sold")).unionByName(
+        targets.select("month", "region", "target_revenue"), allowMissingColumns=True
+    )
+    region = Window.partitionBy("region")
+    has_region = F.col("region").isNotNull()
+    has_both = has_region & F.col("month").isNotNull()
+    rows = (
+        stacked.groupBy("month", "region")
+        .agg(
+            *[F.sum(c).alias(c) for c in sums],
+            F.max("target_revenue").alias("target_revenue"),
+            F.max("_sold").alias("_sold"),
+        )
+        .withColumns(
+            {
+                "region_revenue": F.sum("revenue").over(region),
+                "region_target": F.when(has_region, F.sum("target_revenue").over(region)),
+            }
+        )
+        .where("_sold = 1")
+        .drop("_sold")
+        .withColumnRenamed("revenue", "actual_revenue")
+        .withColumn("target_revenue", F.when(has_both, F.col("target_revenue")))
+    )
+    return _with_achievement(rows)
+
+
 def leakage_amount(actual: Column, target: Column) -> Column:
     """Target minus actual: negative where the region beat its target."""
     return F.round(target - actual, 2)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weirline.functions.dates import month_start
@@ -28,22 +28,13 @@ def executive_summary(monthly: DataFrame, leakage: DataFrame) -> DataFrame:
 def executive_summary_from_sales(
     sales: DataFrame, targets: DataFrame, settings: Settings = Settings()
 ) -> DataFrame:
-    """The same view straight from the month x region rollup, in one pass over orders.
-
-    The region total is a window over the rollup's own rows (one per month), so
-    the orders are not aggregated a second time for the shortfall.
-    """
-    region = Window.partitionBy("region")
-    rows = gold.against_target(sales, targets).withColumn(
-        "_region_revenue", F.sum("actual_revenue").over(region)
-    )
-    rows = classify(rows.join(gold.region_targets(targets), "region", "left"), settings)
+    """The same view straight from the month x region rollup, in one pass over orders."""
+    rows = classify(gold.sales_with_targets(sales, targets), settings)
     known = F.col("region").isNotNull()
+    leakage = gold.leakage_amount(F.col("region_revenue"), F.col("region_target"))
     return rows.select(
         *gold.MONTHLY_COLUMNS,
-        gold.leakage_amount(F.col("_region_revenue"), F.col("target_total")).alias(
-            "leakage_amount"
-        ),
+        leakage.alias("leakage_amount"),
         F.when(known, F.col("leakage_type")).alias("leakage_type"),
         F.when(known, F.col("risk_level")).alias("risk_level"),
     )

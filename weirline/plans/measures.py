@@ -80,22 +80,21 @@ def kpi_measures(
     Month rows are first summed per region, where the shortfall is defined, and
     then in total: the orders are read once.
     """
-    months = gold.against_target(sales, targets)
-    regions = months.groupBy("region").agg(
-        F.sum("actual_revenue").alias("actual_revenue"),
-        F.sum("target_revenue").alias("target_revenue"),
-        F.sum("variance").alias("variance"),
-        F.sum("achievement_pct").alias("achievement_sum"),
-        F.count("achievement_pct").alias("achievement_rows"),
-        *[
-            F.sum(c).alias(c)
-            for c in ("margin_sum", "margin_lines", "discount_sum", "lines")
-        ],
-    )
-    gap = gold.leakage_amount(F.col("actual_revenue"), F.col("target_total"))
-    regions = regions.join(gold.region_targets(targets), "region", "left").withColumn(
-        "leakage_amount", gap
+    regions = (
+        gold.sales_with_targets(sales, targets)
+        .groupBy("region", "region_revenue", "region_target")
+        .agg(
+            *[
+                F.sum(c).alias(c)
+                for c in ("actual_revenue", "target_revenue", "variance")
+                + ("margin_sum", "margin_lines", "discount_sum", "lines")
+            ],
+            F.sum("achievement_pct").alias("achievement_sum"),
+            F.count("achievement_pct").alias("achievement_rows"),
+        )
     )
+    gap = gold.leakage_amount(F.col("region_revenue"), F.col("region_target"))
+    regions = regions.withColumn("leakage_amount", gap)
     regions = regions.select("*", *gold.recovery_columns(settings))
     totals = regions.agg(
         F.sum("actual_revenue").alias("total_revenue"),

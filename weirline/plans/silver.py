@@ -92,13 +92,10 @@ def clean_web_events(raw: DataFrame, settings: Settings = Settings()) -> DataFra
     df = raw.drop(POSITION)
     df = df.withColumn("count", nan_to_null(df, "count"))
     df = drop_null_rows(df, ["count"])
-    return df.withColumns(
-        {
-            "event_date": _date(df, "event_date", parse_strict),
-            "event_type": canonical_label(F.col("event_type"), settings.event_labels),
-            "count": to_count(F.col("count")),
-        }
+    df = df.withColumns(
+        {"event_date": _date(df, "event_date", parse_strict), "count": to_count(df, "count")}
     )
+    return canonical_label(df, "event_type", settings.event_labels)
 
 
 def _dated_targets(raw: DataFrame, settings: Settings) -> DataFrame:

@@ -13,6 +13,8 @@ CLUSTER_DEFAULTS = {
     # size and splits the ones a hot join key has blown up.
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a hot join key even where that costs one more shuffle.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8000",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     # Sides are broadcast on measured size only; no plan carries a hint for a
@@ -27,9 +29,12 @@ CLUSTER_DEFAULTS = {
 
 LOCAL_OVERRIDES = {
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.shuffle.partitions": "8",
     "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8",
     "spark.sql.files.maxPartitionBytes": "16m",
+    # Below this a join side costs less to copy than to shuffle in one process.
+    "spark.sql.autoBroadcastJoinThreshold": "2m",
     "spark.driver.memory": "12g",
     "spark.decommission.enabled": "false",
     "spark.storage.decommission.enabled": "false",

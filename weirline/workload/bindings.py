@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weirline.settings import MONEY, Settings
+from weirline.sources.schemas import POSITION
 
 SETTINGS = Settings(
     uplift_region="ASIA",
@@ -76,6 +77,7 @@ def line_order_id() -> Column:
 
 
 def orders_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines; copies of one order id rank by product, then supplier."""
     heads = order_region(spark, sf_dir).drop("o_totalprice")
     price, discount = F.col("l_extendedprice"), F.col("l_discount")
     return (
@@ -89,6 +91,7 @@ def orders_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
             "region",
             F.when(F.col("l_tax") != 0.08, price).alias("order_value"),
             F.when(discount != 0, discount).alias("discount_pct"),
+            F.struct("l_partkey", "l_suppkey").alias(POSITION),
         )
     )
 

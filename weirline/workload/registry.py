@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from weirline.functions import dates, numbers, text
 from weirline.operators import audit, median, rows, rules
 from weirline.plans import gold, marts, measures, silver
+from weirline.sources.schemas import POSITION
 from weirline.workload import bindings as b
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -86,7 +87,7 @@ def _dedup_full_row(f: Frames) -> DataFrame:
 
 
 def _drop_null_rows(f: Frames) -> DataFrame:
-    return rows.drop_null_rows(f.raw("orders"), ["order_value"])
+    return rows.drop_null_rows(f.raw("orders").drop(POSITION), ["order_value"])
 
 
 def _outlier_filter(f: Frames) -> DataFrame:
@@ -122,8 +123,8 @@ def _text_title(f: Frames) -> DataFrame:
 
 
 def _event_type_canonical(f: Frames) -> DataFrame:
-    label = text.canonical_label(b.event_label(), f.settings.event_labels)
-    return f.table("events").select("event_id", label.alias("event_type"))
+    events = f.table("events").select("event_id", b.event_label().alias("event_type"))
+    return text.canonical_label(events, "event_type", f.settings.event_labels)
 
 
 def _parse_strict_date(f: Frames) -> DataFrame:
@@ -147,8 +148,8 @@ def _cohort_month(f: Frames) -> DataFrame:
 
 
 def _count_to_int(f: Frames) -> DataFrame:
-    written = F.col("value").cast("string")
-    return f.table("events").select("event_id", numbers.to_count(written).alias("count"))
+    written = f.table("events").select("event_id", F.col("value").cast("string").alias("count"))
+    return written.withColumn("count", numbers.to_count(written, "count"))
 
 
 def _leakage_classify(f: Frames) -> DataFrame:
