@@ -11,6 +11,6 @@ from weirline.session import build_session  # noqa: E402
 @pytest.fixture(scope="session")
 def spark():
     session = build_session("weirline-tests", "local[8]", {"spark.driver.memory": "6g"})
-    session.sparkContext.setLogLevel("ERROR")
+    session.sparkContext.setLogLevel("OFF")
     yield session
     session.stop()

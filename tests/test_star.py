@@ -1,0 +1,259 @@
+"""The five cleaning jobs and the star schema on the small sample."""
+
+import datetime as dt
+from decimal import Decimal as D
+
+import pytest
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from helpers import one, rows
+from sample import write_raw
+from weirline.plans import gold, marts, measures, silver
+from weirline.plans.pipeline import read_extracts
+from weirline.settings import Settings
+from weirline.sources.files import read_raw
+
+DAY = dt.date
+
+
+@pytest.fixture(scope="module")
+def raw(spark, tmp_path_factory):
+    return read_extracts(spark, write_raw(tmp_path_factory.mktemp("raw")))
+
+
+@pytest.fixture(scope="module")
+def clean(raw):
+    return {name: job(raw[name]) for name, job in silver.CLEANERS.items()}
+
+
+def test_customers(clean):
+    assert rows(clean["customers"]) == [
+        ("C1", "North", "SMB", DAY(2022, 9, 8), "2022-09"),
+        ("C2", "South", "MID-MARKET", DAY(2023, 1, 1), "2023-01"),
+        ("C3", "West", "SMB", DAY(2023, 1, 1), "2023-01"),
+        ("C4", None, "BIG, CORP", DAY(2024, 2, 29), "2024-02"),
+    ]
+
+
+def test_products(clean):
+    # First copy of P1 wins; the median of .25 .30 .20 is taken after deduplication.
+    assert rows(clean["products"]) == [
+        ("P1", "Home-Decor", 1000, D("0.250000")),
+        ("P2", "Fashion", 200, D("0.250000")),
+        ("P3", "Electronics", 300, D("0.300000")),
+        ("P4", "Home", 400, D("0.200000")),
+    ]
+
+
+def test_orders(clean):
+    got = {r.order_id: r for r in clean["orders"].collect()}
+    # O4: its first copy has no value, so the order goes. O6 is over the cap.
+    assert sorted(got) == ["O1", "O2", "O3", "O5", "O7", "O8", "O9"]
+    assert got["O2"].order_value == D("200.2000") and got["O2"].region == "North"
+    assert got["O3"].discount_pct == got["O7"].discount_pct == 0
+    assert got["O5"].order_date == DAY(2024, 2, 10)
+
+
+def test_web_events(clean):
+    got = rows(clean["web_events"])
+    assert len(got) == 8  # the empty count goes, equal rows stay
+    assert (DAY(2024, 1, 1), "North", "Add_To_Cart", 30) in got
+    assert (DAY(2024, 1, 1), "South", "refund", 9) in got
+
+
+def test_targets(clean):
+    got = rows(clean["targets"])
+    assert (DAY(2024, 1, 1), "North", D("500.0000")) in got and len(got) == 4
+
+
+def test_bad_input_fails_the_run(spark, tmp_path):
+    header = "order_id,order_date,customer_id,product_id,region,order_value,discount_pct\n"
+    for line in ("O1,2024-13-01,C,P,R,1,0\n", "O1,2024-01-01,C,P,R,cheap,0\n"):
+        path = tmp_path / "o.csv"
+        path.write_text(header + line)
+        with pytest.raises(PySparkException):
+            silver.clean_orders(read_raw(spark, str(path), "orders")).collect()
+    path.write_text(header.replace("order_value", "price") + "O1,2024-01-01,C,P,R,1,0\n")
+    with pytest.raises(Py4JJavaError, match="header does not conform"):
+        read_raw(spark, str(path), "orders").collect()
+
+
+def test_first_copy_across_splits_and_files(spark, tmp_path):
+    """Position in the files decides, though many tasks read them."""
+    header = "month,region,target_revenue\n"
+    for part in range(3):
+        lines = "".join(
+            f"2024-01-01,R{i % 50},{part * 10000 + i}\n" for i in range(4000)
+        )
+        (tmp_path / f"part{part}.csv").write_text(header + lines)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    try:
+        raw = read_raw(spark, str(tmp_path), "targets").repartition(5)
+        assert raw.select(F.spark_partition_id()).distinct().count() > 1
+        got = {r.region: r.target_revenue for r in silver.clean_targets(raw).collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "16m")
+    assert got == {f"R{i}": D(i) for i in range(50)}
+
+
+def test_cleaning_clean_data_changes_nothing(clean):
+    again = {
+        "customers": clean["customers"].drop("cohort_month"),
+        "products": clean["products"],
+        "orders": clean["orders"],
+        "targets": clean["targets"],
+        "web_events": clean["web_events"],
+    }
+    for name, frame in again.items():
+        assert rows(silver.CLEANERS[name](frame)) == rows(clean[name]), name
+
+
+def test_input_order_is_irrelevant_without_positions(spark, raw):
+    plain = raw["orders"].drop("_pos")
+    want = rows(silver.clean_orders(plain))
+    for n in (1, 3):
+        assert rows(silver.clean_orders(plain.repartition(n, F.rand(n)))) == want
+
+
+def test_fact_revenue(clean):
+    got = {(r.date, r.region): r for r in gold.fact_revenue(clean["orders"], clean["products"]).collect()}
+    assert len(got) == 4  # O7's product is unknown
+    jan = got[(DAY(2024, 1, 5), "North")]
+    assert (jan.orders, jan.revenue) == (3, D("600.6000"))
+    assert jan.gross_margin == D("600.6") * D("0.25")
+    assert jan.avg_discount == D("0.1")
+    assert (DAY(2024, 3, 13), None) in got
+
+
+def test_enriched_rounds_each_row(clean):
+    got = gold.fact_revenue_enriched(clean["orders"], clean["products"])
+    assert got.count() == 6
+    row = one(got.where("order_value between 80 and 81"))
+    assert row["gross_margin"] == D("24.00") and row["category"] == "Electronics"
+    total = got.agg(F.sum("order_value")).first()[0]
+    facts = gold.fact_revenue(clean["orders"], clean["products"])
+    assert total == facts.agg(F.sum("revenue")).first()[0]
+
+
+def test_dimensions(clean):
+    days = rows(gold.dim_date(clean["orders"]))
+    assert len(days) == 5
+    assert days[0] == (DAY(2024, 1, 5), 2024, 1, 1, "January", DAY(2024, 1, 1))
+    assert rows(gold.dim_region(clean["orders"])) == [("North",), ("South",), ("West",), (None,)]
+
+
+def test_funnel(clean):
+    funnel = gold.fact_funnel(clean["web_events"])
+    got = {r.region: r for r in marts.funnel_analysis(funnel).collect()}
+    north, south, west = got["North"], got["South"], got["West"]
+    assert (north.visits, north.add_to_cart, north.purchases) == (150, 30, 6)
+    assert [float(x) for x in (north.conversion_rate, north.cart_rate, north.checkout_rate)] == [
+        0.04, 0.2, 0.2,
+    ]
+    assert (south.visits, south.purchases, south.conversion_rate) == (0, 4, None)
+    assert south.checkout_rate is None
+    assert (west.visits, float(west.conversion_rate)) == (40, 0.0)
+    check = {r.region: r for r in marts.validate_funnel(funnel).collect()}
+    assert float(check["North"].conversion_pct) == 4.0 and check["South"].conversion_pct is None
+
+
+@pytest.fixture(scope="module")
+def star(clean):
+    targets = gold.fact_targets(clean["targets"])
+    sales = gold.region_month(gold.revenue_grain(clean["orders"], clean["products"]))
+    return {
+        "targets": targets,
+        "sales": sales,
+        "monthly": gold.fact_revenue_monthly(sales, targets),
+        "leakage": gold.fact_leakage(sales, targets),
+    }
+
+
+def test_targets_are_uplifted_per_row_then_scaled(star):
+    got = {(r.month, r.region): r.target_revenue for r in star["targets"].collect()}
+    assert got[(DAY(2024, 3, 1), "West")] == D("147.01")  # 100.01 -> 105.01 -> 147.014
+    assert got[(DAY(2024, 1, 1), "North")] == D("700.00")
+
+
+def test_monthly_keeps_months_without_target(star):
+    got = {(r.month, r.region): r for r in star["monthly"].collect()}
+    assert len(got) == 4  # East has a target but no order
+    north = got[(DAY(2024, 1, 1), "North")]
+    assert (north.variance, north.achievement_pct) == (D("-99.4000"), D("0.86"))
+    blank = got[(DAY(2024, 3, 1), None)]
+    assert blank.target_revenue is blank.variance is blank.achievement_pct is None
+
+
+def test_leakage(star):
+    got = {r.region: r for r in star["leakage"].collect()}
+    assert set(got) == {"North", "South", "West", None}
+    assert got["North"].leakage_amount == got["North"].revenue_gap == D("99.40")
+    assert got["South"].leakage_amount == D("6000.00")
+    assert got["West"].leakage_amount == D("67.01")  # 147.01 - 80.005, half up
+    assert got[None].target_revenue is got[None].leakage_amount is None
+    assert got["North"].avg_conversion_rate == D("0.07")
+    status = {r.region: r.status for r in marts.validate_leakage_sign(star["leakage"]).collect()}
+    assert status["North"] == "CORRECT" and status[None] == "WRONG"
+
+
+def test_average_of_averages_is_not_weighted(spark):
+    orders = spark.createDataFrame(
+        [("a", DAY(2024, 1, 1), "c", "p", "R", D(1), D("0.1")),
+         ("b", DAY(2024, 1, 1), "c", "p", "R", D(1), D("0.3")),
+         ("d", DAY(2024, 1, 2), "c", "p", "R", D(1), D("0.5"))],
+        "order_id string, order_date date, customer_id string, product_id string, "
+        "region string, order_value decimal(18,4), discount_pct decimal(9,6)",
+    )
+    products = spark.createDataFrame(
+        [("p", "X", D("0.2"))], "product_id string, category string, margin_pct decimal(9,6)"
+    )
+    targets = spark.createDataFrame([], "month date, region string, target_revenue decimal(18,4)")
+    sales = gold.region_month(gold.revenue_grain(orders, products))
+    row = one(gold.fact_leakage(sales, targets))
+    assert row["avg_discount"] == D("0.35")  # (0.2 + 0.5) / 2, not 0.9 / 3
+    assert row["leakage_amount"] is None
+    rates = one(marts.margin_and_discount(gold.product_month(orders, products), "region"))
+    assert float(rates["avg_discount_pct"]) == 30.0 and float(rates["avg_margin_pct"]) == 20.0
+
+
+def test_summary_paths_agree(star):
+    joined = marts.executive_summary(star["monthly"], star["leakage"])
+    stacked = marts.executive_summary_from_sales(star["sales"], star["targets"])
+    assert joined.columns == stacked.columns
+    strip = lambda df: [tuple(map(str, map(_plain, r))) for r in rows(df)]
+    assert strip(joined) == strip(stacked)
+
+
+def _plain(v):
+    return float(v) if isinstance(v, D) else v
+
+
+def test_monthly_from_any_grain(clean, star):
+    by_product = gold.product_month(clean["orders"], clean["products"])
+    other = gold.fact_revenue_monthly(by_product, star["targets"])
+    assert rows(other) == rows(star["monthly"])
+
+
+def test_recovery_and_kpis(clean, star):
+    recovery = gold.fact_recovery(star["leakage"])
+    north = one(recovery.where("region = 'North'"))
+    assert [north[f"{s}_recovery"] for s in Settings().scenarios] == [
+        D("74.55"), D("84.49"), D("94.43"),
+    ]
+    funnel = gold.fact_funnel(clean["web_events"])
+    kpi = one(measures.kpi_measures(star["sales"], star["targets"], funnel))
+    leak = star["leakage"].agg(F.sum("leakage_amount")).first()[0]
+    assert kpi["total_leakage"] == leak
+    assert kpi["recovery_potential"] == recovery.agg(F.sum("realistic_recovery")).first()[0]
+    assert kpi["total_revenue"] == star["monthly"].agg(F.sum("actual_revenue")).first()[0]
+    assert float(kpi["avg_conversion_rate"]) == 0.02  # mean of .04 and 0; NULL skipped
+    generic = one(measures.measure(star["monthly"], measures.executive_measures()))
+    for name, value in generic.items():
+        assert float(kpi[name]) == float(value), name
+
+
+def test_gap_is_zero_without_targets(spark):
+    df = spark.createDataFrame([(None, None)], "v decimal(18,4), t decimal(18,4)")
+    assert df.select(measures.gap_percent(F.sum("v"), F.sum("t"))).first()[0] == 0
