@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from weirline.operators.rows import keep_first
-from weirline.plans import gold
+from weirline.plans import gold, silver
 from weirline.workload import bindings
 
 SMALL = {
@@ -86,7 +86,7 @@ def hot_tables(spark, tmp_path_factory):
 
 
 def test_hot_order_is_split_in_the_join(cluster_like, hot_tables):
-    raw = bindings.orders_raw(cluster_like, hot_tables)
+    raw = bindings.orders_raw(bindings.Tables(cluster_like, hot_tables))
     rows, plan = _executed(raw.agg(F.count("*").alias("n"), F.sum("order_value").alias("v")))
     assert rows[0].n == 300_000
     assert "skew=true" in plan
@@ -115,10 +115,12 @@ def test_hot_product_is_split_in_the_enriched_fact(cluster_like, hot_tables):
 
 
 def test_leakage_on_hot_tables_equals_pandas(cluster_like, hot_tables):
-    from weirline.plans import silver
-
-    orders = silver.clean_orders(bindings.orders_raw(cluster_like, hot_tables), bindings.SETTINGS)
-    products = silver.clean_products(bindings.products_raw(cluster_like, hot_tables), bindings.SETTINGS)
+    tables = bindings.Tables(cluster_like, hot_tables)
+    orders = bindings.clean_orders(tables)
+    late = silver.clean_orders(bindings.orders_raw(tables), bindings.SETTINGS)
+    assert orders.exceptAll(late.select(orders.columns)).isEmpty()
+    assert orders.count() == late.count()
+    products = silver.clean_products(bindings.products_raw(tables), bindings.SETTINGS)
     got = {
         r.region: float(r.v)
         for r in gold.fact_revenue(orders, products)

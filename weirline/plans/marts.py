@@ -109,7 +109,7 @@ def validate_funnel(funnel: DataFrame) -> DataFrame:
 
 
 def margin_and_discount(sales: DataFrame, by: str) -> DataFrame:
-    """Mean margin and discount per order line, from ``product_month`` sums."""
+    """Mean margin and discount per order line, from ``sales_by`` sums."""
     margin, lines = F.col("margin_pct"), F.col("lines")
     return (
         sales.groupBy(by)

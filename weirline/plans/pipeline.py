@@ -114,7 +114,7 @@ def build_views(
 
 
 def build_checks(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    sales = gold.product_month(tables["stg_orders"], tables["dim_product"])
+    sales = gold.sales_by(tables["stg_orders"], tables["dim_product"], ["region"])
     return {
         "row_counts": row_counts({t: tables[t] for t in COUNTED_TABLES}),
         "leakage_sign": marts.validate_leakage_sign(tables["fact_leakage"]),

@@ -68,9 +68,13 @@ def clean_products(raw: DataFrame, settings: Settings = Settings()) -> DataFrame
     return fill_median(df, "margin_pct")
 
 
-def clean_orders(raw: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """Deduplicate before any cut: an order whose first copy has no value goes,
-    even if a later copy has one."""
+def clean_order_lines(raw: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """The order rules that need only key, value and discount.
+
+    Deduplicate before any cut: an order whose first copy has no value goes,
+    even if a later copy has one. Sources that keep date, buyer or region in
+    other tables clean their lines with this first and join the survivors.
+    """
     df = _first_rows(raw, KEYS["orders"])
     df = df.withColumn("order_value", nan_to_null(df, "order_value"))
     df = drop_null_rows(df, ["order_value"])
@@ -79,7 +83,6 @@ def clean_orders(raw: DataFrame, settings: Settings = Settings()) -> DataFrame:
     df = keep_at_most(df, "_given", settings.order_value_cap).drop("_given")
     df = df.withColumns(
         {
-            "order_date": _date(df, "order_date", parse_strict),
             "order_value": F.col("order_value").cast(settings.money),
             "discount_pct": _numeric(df, "discount_pct", settings.rate),
         }
@@ -87,6 +90,11 @@ def clean_orders(raw: DataFrame, settings: Settings = Settings()) -> DataFrame:
     return fill_constant(df, {"discount_pct": 0})
 
 
+def clean_orders(raw: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    df = clean_order_lines(raw, settings)
+    return df.withColumn("order_date", _date(df, "order_date", parse_strict))
+
+
 def clean_web_events(raw: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """No key, so no deduplication."""
     df = raw.drop(POSITION)

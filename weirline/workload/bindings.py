@@ -7,10 +7,12 @@ Each function states one extract as lazy expressions over the Parquet files;
 from __future__ import annotations
 
 from decimal import Decimal
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from weirline.plans import silver
 from weirline.settings import MONEY, Settings
 from weirline.sources.schemas import POSITION
 
@@ -28,8 +30,41 @@ SETTINGS = Settings(
 COUNT_TEXTS = {0: "", 1: "NA", 2: "null", 3: "NaN", 4: " NA "}
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+class Tables:
+    """The Parquet tables of one folder; each is listed and opened once."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self._spark, self._sf_dir = spark, sf_dir
+        self._open: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._open:
+            self._open[name] = self._spark.read.parquet(f"{self._sf_dir}/{name}.parquet")
+        return self._open[name]
+
+    @cached_property
+    def customer_region(self) -> DataFrame:
+        return (
+            self["customer"]
+            .join(self["nation"], F.col("c_nationkey") == F.col("n_nationkey"))
+            .join(self["region"], F.col("n_regionkey") == F.col("r_regionkey"))
+            .select("c_custkey", "c_mktsegment", F.col("r_name").alias("region"))
+        )
+
+    @cached_property
+    def order_region(self) -> DataFrame:
+        buyers = self.customer_region.select("c_custkey", "region")
+        return (
+            self["orders"]
+            .join(buyers, F.col("o_custkey") == F.col("c_custkey"))
+            .select(
+                "o_orderkey",
+                F.to_date("o_orderdate").alias("order_date"),
+                "o_custkey",
+                "region",
+                "o_totalprice",
+            )
+        )
 
 
 def _copies(df: DataFrame, twice: Column) -> DataFrame:
@@ -45,63 +80,53 @@ def _spelling(text: Column, key: Column) -> Column:
     )
 
 
-def customer_region(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nation = table(spark, sf_dir, "nation")
-    region = table(spark, sf_dir, "region")
-    return (
-        table(spark, sf_dir, "customer")
-        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-        .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
-        .select("c_custkey", "c_mktsegment", "n_name", F.col("r_name").alias("region"))
+def line_order_id() -> Column:
+    """Line numbers run from 1 to 7, so one digit holds them."""
+    return F.col("l_orderkey") * 10 + F.col("l_linenumber")
+
+
+def order_lines_raw(tables: Tables) -> DataFrame:
+    """Order lines without their headers; copies rank by product, then supplier."""
+    price, discount = F.col("l_extendedprice"), F.col("l_discount")
+    return tables["lineitem"].select(
+        "l_orderkey",
+        line_order_id().alias("order_id"),
+        F.col("l_partkey").alias("product_id"),
+        F.when(F.col("l_tax") != 0.08, price).alias("order_value"),
+        F.when(discount != 0, discount).alias("discount_pct"),
+        F.struct("l_partkey", "l_suppkey").alias(POSITION),
     )
 
 
-def order_region(spark: SparkSession, sf_dir: str) -> DataFrame:
-    buyers = customer_region(spark, sf_dir).select("c_custkey", "region")
-    return (
-        table(spark, sf_dir, "orders")
-        .join(buyers, F.col("o_custkey") == F.col("c_custkey"))
-        .select(
-            "o_orderkey",
-            F.to_date("o_orderdate").alias("order_date"),
-            "o_custkey",
-            "region",
-            "o_totalprice",
-        )
+def with_headers(tables: Tables, lines: DataFrame) -> DataFrame:
+    heads = tables.order_region.select(
+        "o_orderkey", "order_date", F.col("o_custkey").alias("customer_id"), "region"
+    )
+    return lines.join(heads, F.col("l_orderkey") == F.col("o_orderkey")).drop(
+        "l_orderkey", "o_orderkey"
     )
 
 
-def line_order_id() -> Column:
-    """Line numbers run from 1 to 7, so one digit holds them."""
-    return F.col("l_orderkey") * 10 + F.col("l_linenumber")
+def orders_raw(tables: Tables) -> DataFrame:
+    return with_headers(tables, order_lines_raw(tables))
 
 
-def orders_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order lines; copies of one order id rank by product, then supplier."""
-    heads = order_region(spark, sf_dir).drop("o_totalprice")
-    price, discount = F.col("l_extendedprice"), F.col("l_discount")
-    return (
-        table(spark, sf_dir, "lineitem")
-        .join(heads, F.col("l_orderkey") == F.col("o_orderkey"))
-        .select(
-            line_order_id().alias("order_id"),
-            "order_date",
-            F.col("o_custkey").alias("customer_id"),
-            F.col("l_partkey").alias("product_id"),
-            "region",
-            F.when(F.col("l_tax") != 0.08, price).alias("order_value"),
-            F.when(discount != 0, discount).alias("discount_pct"),
-            F.struct("l_partkey", "l_suppkey").alias(POSITION),
-        )
-    )
+def clean_orders(tables: Tables) -> DataFrame:
+    """Clean the lines, then look up the headers of those that are left.
+
+    A line's header depends on its key alone, so this equals cleaning
+    ``orders_raw``; only the survivors are shuffled for the join.
+    """
+    lines = silver.clean_order_lines(order_lines_raw(tables), SETTINGS)
+    return with_headers(tables, lines)
 
 
-def products_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+def products_raw(tables: Tables) -> DataFrame:
     key, size = F.col("p_partkey"), F.col("p_size")
     label = F.concat_ws("-", "p_type", "p_brand")
     margin = ((20 + size % 16) / 100).cast("decimal(9,6)")
     return _copies(
-        table(spark, sf_dir, "part").select(
+        tables["part"].select(
             key.alias("product_id"),
             _spelling(label, key).alias("category"),
             F.col("p_retailprice").alias("base_price"),
@@ -111,15 +136,15 @@ def products_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def customers_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+def customers_raw(tables: Tables) -> DataFrame:
     key = F.col("c_custkey")
     since = (
-        table(spark, sf_dir, "orders")
+        tables["orders"]
         .groupBy("o_custkey")
         .agg(F.to_date(F.min("o_orderdate")).alias("since"))
     )
     return _copies(
-        customer_region(spark, sf_dir)
+        tables.customer_region
         .join(since, key == F.col("o_custkey"), "left")
         .select(
             key.alias("customer_id"),
@@ -150,11 +175,11 @@ def count_text() -> Column:
     return expr.otherwise("1.0")
 
 
-def web_events_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    users = customer_region(spark, sf_dir).select("c_custkey", "region")
+def web_events_raw(tables: Tables) -> DataFrame:
+    users = tables.customer_region.select("c_custkey", "region")
     n = F.when(F.col("event_id") % 20 != 0, F.lit("1.0"))
     return (
-        table(spark, sf_dir, "events")
+        tables["events"]
         .join(users, F.col("user_id") == F.col("c_custkey"))
         .select(
             F.to_date("ts").alias("event_date"),
@@ -165,11 +190,11 @@ def web_events_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def targets_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+def targets_raw(tables: Tables) -> DataFrame:
     month = F.trunc("order_date", "MM")
     planned = F.round(F.sum(F.col("o_totalprice").cast(MONEY)) * F.lit(Decimal("0.0986")), 2)
     sums = (
-        order_region(spark, sf_dir)
+        tables.order_region
         .groupBy(month.alias("first_day"), "region")
         .agg(planned.alias("target_revenue"))
         .where(~((F.col("region") == "EUROPE") & (F.month("first_day") == 2)))
@@ -192,5 +217,5 @@ RAW = {
 }
 
 
-def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {name: bind(spark, sf_dir) for name, bind in RAW.items()}
+def raw_tables(tables: Tables) -> dict[str, DataFrame]:
+    return {name: bind(tables) for name, bind in RAW.items()}

@@ -21,20 +21,20 @@ class Frames:
     """Lazy frames over one data folder; each property only declares a plan."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir, self.settings = spark, sf_dir, b.SETTINGS
+        self.tables, self.settings = b.Tables(spark, sf_dir), b.SETTINGS
 
     def table(self, name: str) -> DataFrame:
-        return b.table(self.spark, self.sf_dir, name)
+        return self.tables[name]
 
     def raw(self, name: str) -> DataFrame:
-        return b.RAW[name](self.spark, self.sf_dir)
+        return b.RAW[name](self.tables)
 
     def clean(self, name: str) -> DataFrame:
         return silver.CLEANERS[name](self.raw(name), self.settings)
 
     @cached_property
     def orders(self) -> DataFrame:
-        return self.clean("orders")
+        return b.clean_orders(self.tables)
 
     @cached_property
     def products(self) -> DataFrame:
@@ -56,6 +56,10 @@ class Frames:
     def product_sales(self) -> DataFrame:
         return gold.product_month(self.orders, self.products)
 
+    @cached_property
+    def region_sales(self) -> DataFrame:
+        return gold.sales_by(self.orders, self.products, ["region"])
+
     @cached_property
     def monthly(self) -> DataFrame:
         return gold.fact_revenue_monthly(self.product_sales, self.targets)
@@ -153,7 +157,7 @@ def _count_to_int(f: Frames) -> DataFrame:
 
 
 def _leakage_classify(f: Frames) -> DataFrame:
-    buyers = b.customer_region(f.spark, f.sf_dir)
+    buyers = f.tables.customer_region
     counted = buyers.groupBy("region").agg(F.count(F.lit(1)).alias("customers"))
     return rules.classify(counted, f.settings)
 
@@ -177,7 +181,15 @@ def _validate_row_counts(f: Frames) -> DataFrame:
 
 
 def _quality_report(f: Frames) -> DataFrame:
-    return audit.quality_report({name: f.clean(name) for name in silver.CLEANERS})
+    return audit.quality_report(
+        {
+            "customers": f.clean("customers"),
+            "products": f.products,
+            "orders": f.orders,
+            "web_events": f.clean("web_events"),
+            "targets": f.clean("targets"),
+        }
+    )
 
 
 PLANS: dict[str, Callable[[Frames], DataFrame]] = {
@@ -199,11 +211,11 @@ PLANS: dict[str, Callable[[Frames], DataFrame]] = {
     "leakage_classify": _leakage_classify,
     "collation_group": _collation_group,
     "target_uplift": lambda f: gold.target_uplift(f.clean("targets"), f.settings),
-    "etl_audit": lambda f: silver.etl_audit(b.raw_tables(f.spark, f.sf_dir), f.settings),
+    "etl_audit": lambda f: silver.etl_audit(b.raw_tables(f.tables), f.settings),
     "quality_report": _quality_report,
     "clean_customers": lambda f: f.clean("customers"),
     "clean_products": lambda f: f.clean("products"),
-    "clean_orders": lambda f: f.clean("orders"),
+    "clean_orders": lambda f: f.orders,
     "clean_web_events": lambda f: f.clean("web_events"),
     "clean_targets": lambda f: f.clean("targets"),
     "dim_date": lambda f: gold.dim_date(f.orders),
@@ -224,7 +236,7 @@ PLANS: dict[str, Callable[[Frames], DataFrame]] = {
     "validate_row_counts": _validate_row_counts,
     "validate_leakage_sign": lambda f: marts.validate_leakage_sign(f.leakage),
     "validate_funnel": lambda f: marts.validate_funnel(f.funnel),
-    "validate_margin": lambda f: marts.margin_and_discount(f.product_sales, "region"),
+    "validate_margin": lambda f: marts.margin_and_discount(f.region_sales, "region"),
     "kpi_measures": lambda f: measures.kpi_measures(f.sales, f.targets, f.funnel, f.settings),
     "kpi_by_region_month": lambda f: measures.kpi_by_region_month(f.sales, f.targets, f.funnel),
     "achievement_by_quarter": lambda f: measures.achievement_by_quarter(f.monthly),
@@ -233,10 +245,10 @@ PLANS: dict[str, Callable[[Frames], DataFrame]] = {
     "leakage_rate": lambda f: measures.leakage_rate(f.leakage),
     "funnel_totals": lambda f: measures.funnel_totals(f.funnel),
     "discount_margin_by_region": lambda f: marts.margin_and_discount(
-        f.product_sales, "region"
+        f.region_sales, "region"
     ),
     "discount_margin_by_category": lambda f: marts.margin_and_discount(
-        f.product_sales, "category"
+        f.region_sales, "category"
     ),
     "recovery_by_scenario": lambda f: measures.recovery_by_scenario(f.recovery, f.settings),
     "leakage_fixed_rate": lambda f: measures.leakage_fixed_rate(f.leakage, f.settings),
