@@ -2,18 +2,21 @@
 
 import csv
 import os
+from decimal import Decimal as D
 from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from helpers import one, rows
 from sample import write_raw
-from weirline.plans import gold, marts, silver
+from weirline.plans import gold, marts, measures, silver
 from weirline.plans.pipeline import COUNTED_TABLES, SILVER_TABLES, read_extracts, run
-from weirline.sources.files import read_clean_csv
+from weirline.session import sizing
+from weirline.sources.files import read_clean_csv, write_csv
 from weirline.sources.seed import funnel_seed
-from weirline.sources.warehouse import Warehouse
+from weirline.sources.warehouse import Warehouse, column_types, conform
 
 
 @pytest.fixture(scope="module")
@@ -131,6 +134,35 @@ def test_managed_tables(spark):
         Warehouse(spark)
 
 
+def test_target_types(spark):
+    df = spark.createDataFrame(
+        [("a", 1, float("nan"), 2.5)], "k string, n int, x double, y double"
+    )
+    want = T.StructType.fromDDL("y decimal(18,4), x double, n bigint, k string")
+    got = conform(df, want)
+    assert got.schema.simpleString() == want.simpleString()
+    assert tuple(got.first()) == (D("2.5"), None, 1, "a")
+    assert column_types(want) == (
+        "`y` DECIMAL(18,4), `x` DOUBLE, `n` BIGINT, `k` VARCHAR(255)"
+    )
+
+
+def test_nan_is_empty_in_csv(spark, tmp_path):
+    df = spark.createDataFrame([(1, float("nan")), (2, 0.5)], "k int, x double")
+    write_csv(df, str(tmp_path / "out"))
+    back = read_clean_csv(spark, str(tmp_path / "out"), df.schema)
+    assert rows(back) == [(1, None), (2, 0.5)]
+
+
+def test_sizing_grows_and_stops():
+    small, large = sizing(1 << 30), sizing(100 << 40)
+    split, parts = "spark.sql.files.maxPartitionBytes", (
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    )
+    assert (int(small[split]), int(small[parts])) == (128 << 20, 200)
+    assert (int(large[split]), int(large[parts])) == (1 << 30, 40_000)
+
+
 # -- the published sample, where it is at hand --------------------------------
 
 SAMPLE = os.environ.get("SAMPLE_EXTRACTS")
@@ -175,6 +207,21 @@ def test_published_sample(spark, tmp_path):
                         "South": (135713.05, 81056.89), "West": (148698.52, 84567.32)}
     monthly = b.tables["fact_revenue_monthly"]
     assert monthly.where("variance < 0").count() == 17
+    quarters = {r.quarter: float(r.avg_achievement_pct)
+                for r in measures.achievement_by_quarter(monthly).collect()}
+    assert max(quarters, key=quarters.get) == 4
+    # The published figures use a fixed rate for the shortfall and unscaled targets.
+    fixed = measures.leakage_fixed_rate(b.tables["fact_leakage"])
+    shares = {r.leakage_type: float(r.share_pct)
+              for r in measures.leakage_share_by_type(fixed).collect()}
+    assert shares["Funnel Drop-off"] == 49.44
+    recovered = {r.scenario: float(r.recovery_amount)
+                 for r in measures.recovery_by_scenario(gold.fact_recovery(fixed)).collect()}
+    assert [round(recovered[s] / 1000, 2) for s in
+            ("conservative", "realistic", "aggressive")] == [73.44, 83.24, 93.03]
+    unscaled = gold.fact_revenue_monthly(b.tables["agg_sales"], b.tables["stg_targets"])
+    gap = one(measures.measure(unscaled, measures.executive_measures()))["revenue_gap_pct"]
+    assert round(float(gap), 2) == 66.95
     # Cleaned rows equal the published clean files, number by number.
     clean = silver.clean_web_events(read_extracts(spark, f"{SAMPLE}/data_raw")["web_events"])
     frames = {e: b.tables[t] for e, t in SILVER_TABLES.items() if e != "web_events"}

@@ -110,6 +110,15 @@ def region_month(grain: DataFrame) -> DataFrame:
     )
 
 
+def sales_from_facts(revenue: DataFrame) -> DataFrame:
+    """Month x region sums of the written revenue fact, for targets and shortfall."""
+    return revenue.groupBy(month_start(F.col("date")).alias("month"), "region").agg(
+        F.sum("revenue").alias("revenue"),
+        F.count("avg_discount").alias("grains"),
+        F.sum("avg_discount").alias("avg_discount_sum"),
+    )
+
+
 def product_month(orders: DataFrame, products: DataFrame) -> DataFrame:
     """Month x region x product sums, for reports that need no customer grain."""
     return sales_by(

@@ -72,31 +72,30 @@ KPI_COLUMNS = (
 )
 
 
-def kpi_measures(
-    sales: DataFrame, targets: DataFrame, funnel: DataFrame, settings: Settings = Settings()
+def _region_sums(
+    sales: DataFrame, targets: DataFrame, settings: Settings
 ) -> DataFrame:
-    """All ten measures over everything, one row.
-
-    Month rows are first summed per region, where the shortfall is defined, and
-    then in total: the orders are read once.
-    """
+    """Region rows with every additive part of the sales measures, and the
+    shortfall and recovery that are defined per region. Orders are read once."""
+    additive = ("actual_revenue", "target_revenue", "variance")
+    additive += ("margin_sum", "margin_lines", "discount_sum", "lines")
     regions = (
         gold.sales_with_targets(sales, targets)
         .groupBy("region", "region_revenue", "region_target")
         .agg(
-            *[
-                F.sum(c).alias(c)
-                for c in ("actual_revenue", "target_revenue", "variance")
-                + ("margin_sum", "margin_lines", "discount_sum", "lines")
-            ],
+            *[F.sum(c).alias(c) for c in additive],
             F.sum("achievement_pct").alias("achievement_sum"),
             F.count("achievement_pct").alias("achievement_rows"),
         )
     )
     gap = gold.leakage_amount(F.col("region_revenue"), F.col("region_target"))
     regions = regions.withColumn("leakage_amount", gap)
-    regions = regions.select("*", *gold.recovery_columns(settings))
-    totals = regions.agg(
+    return regions.select("*", *gold.recovery_columns(settings))
+
+
+def _sales_measures() -> list[Column]:
+    """The sales measures over ``_region_sums`` rows."""
+    return [
         F.sum("actual_revenue").alias("total_revenue"),
         F.sum("target_revenue").alias("total_target"),
         F.sum("variance").alias("revenue_variance"),
@@ -106,11 +105,27 @@ def kpi_measures(
         gap_percent(F.sum("variance"), F.sum("target_revenue")).alias("revenue_gap_pct"),
         *rate_measures(),
         *recovery_measures(),
-    )
+    ]
+
+
+def kpi_measures(
+    sales: DataFrame, targets: DataFrame, funnel: DataFrame, settings: Settings = Settings()
+) -> DataFrame:
+    """All ten measures over everything, one row."""
+    totals = _region_sums(sales, targets, settings).agg(*_sales_measures())
     conversion = measure(funnel, funnel_measures()).scalar()
     return totals.withColumn("avg_conversion_rate", conversion).select(*KPI_COLUMNS)
 
 
+def kpi_by_region(
+    sales: DataFrame, targets: DataFrame, funnel: DataFrame, settings: Settings = Settings()
+) -> DataFrame:
+    """All ten measures per region, for every region with sales or web events."""
+    sold = measure(_region_sums(sales, targets, settings), _sales_measures(), ["region"])
+    visited = measure(funnel, funnel_measures(), ["region"])
+    return sold.join(visited, "region", "full").select("region", *KPI_COLUMNS)
+
+
 def kpi_by_region_month(sales: DataFrame, targets: DataFrame, funnel: DataFrame) -> DataFrame:
     """Measures per month and region, for every cell with sales or web events.
 

@@ -6,7 +6,6 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from weirline.operators.audit import quality_report, row_counts
 from weirline.plans import gold, marts, silver
@@ -84,22 +83,13 @@ def build_gold(
     write("fact_revenue_enriched", gold.fact_revenue_enriched(orders, products))
     write("fact_funnel", gold.fact_funnel(tables["stg_web_events"]))
     targets = write("fact_targets", gold.fact_targets(tables["stg_targets"], settings))
-    sales = write("agg_sales", sales_from_facts(out["fact_revenue"]))
+    sales = write("agg_sales", gold.sales_from_facts(out["fact_revenue"]))
     write("fact_revenue_monthly", gold.fact_revenue_monthly(sales, targets))
     leakage = write("fact_leakage", gold.fact_leakage(sales, targets, settings))
     write("fact_recovery", gold.fact_recovery(leakage, settings))
     return out
 
 
-def sales_from_facts(revenue: DataFrame) -> DataFrame:
-    """Month x region sums of the written revenue fact, for targets and shortfall."""
-    return revenue.groupBy(F.trunc("date", "MM").alias("month"), "region").agg(
-        F.sum("revenue").alias("revenue"),
-        F.count("avg_discount").alias("grains"),
-        F.sum("avg_discount").alias("avg_discount_sum"),
-    )
-
-
 def build_views(
     tables: Mapping[str, DataFrame], settings: Settings = Settings()
 ) -> dict[str, DataFrame]:

@@ -15,12 +15,11 @@ CLUSTER_DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a hot join key even where that costs one more shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8000",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
     # Sides are broadcast on measured size only; no plan carries a hint for a
     # frame that grows with the data.
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
-    "spark.sql.files.maxPartitionBytes": "256m",
     # Keep shuffle blocks of executors that are being taken away.
     "spark.decommission.enabled": "true",
     "spark.storage.decommission.enabled": "true",
@@ -32,6 +31,7 @@ LOCAL_OVERRIDES = {
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.shuffle.partitions": "8",
     "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "true",
     "spark.sql.files.maxPartitionBytes": "16m",
     # Below this a join side costs less to copy than to shuffle in one process.
     "spark.sql.autoBroadcastJoinThreshold": "2m",
@@ -41,14 +41,34 @@ LOCAL_OVERRIDES = {
 }
 
 
+_MIB = 1 << 20
+
+
+def sizing(input_bytes: int) -> dict[str, str]:
+    """Scan split and initial shuffle partitions for an input size.
+
+    Both grow with the input and stop where the number of shuffle blocks (map
+    tasks x reduce tasks) would cost more than larger, spilling tasks do. At
+    100 TB: 1 GiB splits and 40,000 partitions; AQE merges what turns out small.
+    """
+    split = min(max(input_bytes // 100_000, 128 * _MIB), 1024 * _MIB)
+    partitions = min(max(input_bytes // (256 * _MIB), 200), 40_000)
+    return {
+        "spark.sql.files.maxPartitionBytes": str(split),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+    }
+
+
 def build_session(
     app_name: str = "weirline",
     master: str | None = None,
     conf: Mapping[str, str] | None = None,
+    input_bytes: int = 1 << 40,
 ) -> SparkSession:
-    """Get or create a session; a ``local[...]`` master gets laptop-sized values."""
+    """Get or create a session sized for ``input_bytes``; a ``local[...]`` master
+    gets laptop-sized values."""
     builder = SparkSession.builder.appName(app_name)
-    settings = dict(CLUSTER_DEFAULTS)
+    settings = {**CLUSTER_DEFAULTS, **sizing(input_bytes)}
     if master:
         builder = builder.master(master)
         if master.startswith("local"):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weirline.functions.numbers import for_report
+from weirline.functions.numbers import for_report, nan_to_null
 from weirline.functions.text import na_to_null
 from weirline.sources.schemas import POSITION, RAW_COLUMNS, raw_schema
 
@@ -41,8 +41,10 @@ def read_raw(
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """Full refresh of a CSV directory; numbers in their shortest form."""
-    for_report(df, places=10).write.mode("overwrite").option("header", True).csv(path)
+    """Full refresh of a CSV directory; numbers in their shortest form, NaN empty."""
+    df = for_report(df, places=10)
+    df = df.select(*[nan_to_null(df, c).alias(c) for c in df.columns])
+    df.write.mode("overwrite").option("header", True).csv(path)
 
 
 def read_clean_csv(spark: SparkSession, path: str, schema) -> DataFrame:

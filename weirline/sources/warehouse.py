@@ -6,6 +6,9 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+
+from weirline.functions.numbers import nan_to_null
 
 
 @dataclass(frozen=True)
@@ -57,6 +60,25 @@ def register_views(views: Mapping[str, DataFrame]) -> None:
         df.createOrReplaceTempView(name)
 
 
+def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """Columns of a target table, in its order and types; NaN becomes NULL."""
+    return df.select(*[nan_to_null(df, f.name).cast(f.dataType).alias(f.name) for f in schema])
+
+
+def column_types(schema: T.StructType) -> str:
+    """Column types for a table created in an external database: whole numbers
+    BIGINT, text VARCHAR(255), everything else as it is."""
+    whole = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+    parts = []
+    for f in schema:
+        if isinstance(f.dataType, T.StringType):
+            kind = "VARCHAR(255)"
+        else:
+            kind = "BIGINT" if isinstance(f.dataType, whole) else f.dataType.simpleString().upper()
+        parts.append(f"`{f.name}` {kind}")
+    return ", ".join(parts)
+
+
 def write_jdbc(df: DataFrame, url: str, table: str, properties: Mapping[str, str]) -> None:
     """Full refresh of a table in an external database.
 
@@ -64,4 +86,5 @@ def write_jdbc(df: DataFrame, url: str, table: str, properties: Mapping[str, str
     one connection; ``numPartitions`` and ``batchsize`` in ``properties`` bound
     the load on the server.
     """
-    df.write.jdbc(url, table, mode="overwrite", properties=dict(properties))
+    options = {"createTableColumnTypes": column_types(df.schema), **properties}
+    conform(df, df.schema).write.jdbc(url, table, mode="overwrite", properties=options)

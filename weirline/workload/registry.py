@@ -238,6 +238,9 @@ PLANS: dict[str, Callable[[Frames], DataFrame]] = {
     "validate_funnel": lambda f: marts.validate_funnel(f.funnel),
     "validate_margin": lambda f: marts.margin_and_discount(f.region_sales, "region"),
     "kpi_measures": lambda f: measures.kpi_measures(f.sales, f.targets, f.funnel, f.settings),
+    "kpi_by_region": lambda f: measures.kpi_by_region(
+        f.sales, f.targets, f.funnel, f.settings
+    ),
     "kpi_by_region_month": lambda f: measures.kpi_by_region_month(f.sales, f.targets, f.funnel),
     "achievement_by_quarter": lambda f: measures.achievement_by_quarter(f.monthly),
     "region_actual_vs_target": lambda f: measures.region_actual_vs_target(f.monthly),
