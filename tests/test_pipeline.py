@@ -89,7 +89,7 @@ def test_clean_csv_round_trip(spark, built):
         back = read_clean_csv(spark, f"{csv_dir}/{entity}_clean.csv", want.schema)
         assert rows(back) == rows(want), entity
     text = "".join(p.read_text() for p in Path(csv_dir, "orders_clean.csv").glob("part-*"))
-    assert "100.1,0.1" in text and "2024-01-05" in text
+    assert "North,100.1,0.1\n" in text and "South,50000,0.05\n" in text
 
 
 def test_second_run_gives_the_same_tables(spark, built):

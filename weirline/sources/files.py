@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from weirline.functions.numbers import for_report, nan_to_null
+from weirline.functions.numbers import nan_to_null
 from weirline.functions.text import na_to_null
 from weirline.sources.schemas import POSITION, RAW_COLUMNS, raw_schema
 
@@ -40,10 +41,17 @@ def read_raw(
     )
 
 
+def _csv_column(df: DataFrame, name: str) -> Column:
+    """Decimals as plain text without trailing zeros, NaN as empty."""
+    col, dtype = nan_to_null(df, name), df.schema[name].dataType
+    if isinstance(dtype, T.DecimalType) and dtype.scale > 0:
+        col = F.rtrim(F.rtrim(col.cast("string"), F.lit("0")), F.lit("."))
+    return col.alias(name)
+
+
 def write_csv(df: DataFrame, path: str) -> None:
-    """Full refresh of a CSV directory; numbers in their shortest form, NaN empty."""
-    df = for_report(df, places=10)
-    df = df.select(*[nan_to_null(df, c).alias(c) for c in df.columns])
+    """Full refresh of a CSV directory, one file per task, each with a header."""
+    df = df.select(*[_csv_column(df, c) for c in df.columns])
     df.write.mode("overwrite").option("header", True).csv(path)
 
 

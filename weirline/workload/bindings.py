@@ -30,6 +30,25 @@ SETTINGS = Settings(
 COUNT_TEXTS = {0: "", 1: "NA", 2: "null", 3: "NaN", 4: " NA "}
 
 
+# Columns of the tables in use. Given, so that opening a table
+# starts no job to read footers.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+    "c_mktsegment string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+    "p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, "
+    "o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+    "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+    "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+    "value double, props string",
+}
+
+
 class Tables:
     """The Parquet tables of one folder; each is listed and opened once."""
 
@@ -39,7 +58,8 @@ class Tables:
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._open:
-            self._open[name] = self._spark.read.parquet(f"{self._sf_dir}/{name}.parquet")
+            reader = self._spark.read.schema(SCHEMAS[name])
+            self._open[name] = reader.parquet(f"{self._sf_dir}/{name}.parquet")
         return self._open[name]
 
     @cached_property
