@@ -56,12 +56,12 @@ def exact_median(df: DataFrame, column: str) -> DataFrame:
             parents = F.broadcast(
                 blocks.select(F.col("_p").alias("_parent"), "_lo", "_hi", "_before")
             )
-            tallies = (
-                tallies.withColumn("_parent", _div(F.col("_p"), 10**_DIGITS))
-                .join(parents, "_parent")
-                .groupBy("_p", "_parent", "_lo", "_hi", "_before")
-                .agg(F.sum("_n").alias("_n"))
-            )
+            tallies = tallies.withColumn("_parent", _div(F.col("_p"), 10**_DIGITS))
+            tallies = tallies.join(parents, "_parent")
+            if width > 1:  # the last prefix is the value, already counted once
+                tallies = tallies.groupBy("_p", "_parent", "_lo", "_hi", "_before").agg(
+                    F.sum("_n").alias("_n")
+                )
         upto = Window.partitionBy("_parent").orderBy("_p")
         end = F.col("_before") + F.sum("_n").over(upto)
         blocks = (
