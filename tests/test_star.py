@@ -98,6 +98,47 @@ def test_first_copy_across_splits_and_files(spark, tmp_path):
     assert got == {f"R{i}": D(i) for i in range(50)}
 
 
+def test_quoted_text(spark, tmp_path):
+    """Doubled quotes, commas and, on request, line breaks inside a field."""
+    path = tmp_path / "c.csv"
+    path.write_text(
+        'customer_id,region,segment,signup_date\n'
+        'C1,North,"a ""b"", c",2024-01-01\n'
+        'C2,South,"two\nlines",NA\n'
+    )
+    got = rows(read_raw(spark, str(path), "customers", multi_line=True).drop("_pos"))
+    assert got == [
+        ("C1", "North", 'a "b", c', "2024-01-01"),
+        ("C2", "South", "two\nlines", None),
+    ]
+
+
+def test_measures_under_several_contexts(star):
+    by_region = measures.measure(star["monthly"], measures.executive_measures(), ["region"])
+    total = one(measures.measure(star["monthly"], measures.executive_measures()))
+    assert by_region.count() == 4
+    assert by_region.agg(F.sum("total_revenue")).first()[0] == total["total_revenue"]
+    south = one(by_region.where("region = 'South'"))
+    assert float(south["revenue_gap_pct"]) == -10.7143  # (50000 - 56000) / 56000
+    blank = one(by_region.where("region IS NULL"))
+    assert blank["total_target"] is None and blank["revenue_gap_pct"] == 0
+
+
+def test_region_kpis_keep_regions_with_events_only(clean, star):
+    events = clean["web_events"].withColumn(
+        "region", F.when(F.col("region") == "West", "Island").otherwise(F.col("region"))
+    )
+    got = {
+        r.region: r
+        for r in measures.kpi_by_region(
+            star["sales"], star["targets"], gold.fact_funnel(events)
+        ).collect()
+    }
+    assert got["Island"].total_revenue is None and got["Island"].avg_conversion_rate == 0
+    assert got["West"].avg_conversion_rate is None
+    assert got["West"].total_leakage == D("67.01")
+
+
 def test_cleaning_clean_data_changes_nothing(clean):
     again = {
         "customers": clean["customers"].drop("cohort_month"),
