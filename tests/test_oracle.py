@@ -7,6 +7,7 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as contract
+from weirline.workload import oracle, registry
 
 DATA = Path("/root/testdata")
 TABLES = (
@@ -43,7 +44,7 @@ def _frame(df: pd.DataFrame) -> pd.DataFrame:
 
 # Groups without visits, hence empty rates, occur at the smallest scale only.
 SPARSE = ("fact_funnel", "vw_funnel_analysis", "validate_funnel", "kpi_measures", "fact_leakage")
-CASES = [("sf0.01", n) for n in sorted(contract.queries())] + [("sf0.001", n) for n in SPARSE]
+CASES = [("sf0.01", n) for n in sorted(registry.queries())] + [("sf0.001", n) for n in SPARSE]
 
 
 @pytest.fixture(scope="module")
@@ -60,7 +61,7 @@ def engines():
 
 
 def test_same_names():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(registry.queries()) == set(oracle.oracle_sql())
 
 
 @pytest.mark.parametrize("scale,name", CASES)
