@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weirline.llm import chat, langid
-from weirline.llm.common import held_out, table
+from weirline.llm import chat, langid, packing
+from weirline.llm.common import held_out, stored, table
+
+BYTE_BPE = "byte_bpe_50k.json"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +18,22 @@ Query = Callable[[SparkSession, str], DataFrame]
 PROBE = "</s>[INST] ok [/INST]"
 
 
+def tokenizer_file(name: str) -> str:
+    """Where this machine keeps a public vocabulary; executors have it there too."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    pieces = packing.token_pieces(docs, tokenizer_file(BYTE_BPE))
+    digests = pieces.select(
+        "doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")
+    )
+    return packing.pack(stored(digests, "op1-pieces"))
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
     profiles = langid.fit(docs.where(~held_out()))
@@ -36,6 +54,7 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_best_fit_packing": op1_best_fit_packing,
     "op4_language_id": op4_language_id,
     "op7_chat_format": op7_chat_format,
 }
