@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weirline.llm import chat, langid, packing
+from weirline.llm import chat, langid, packing, quality
 from weirline.llm.common import held_out, stored, table
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -34,6 +34,25 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(stored(digests, "op1-pieces"))
 
 
+QUALITY_AT_LEAST = 0.3
+
+
+def quality_model(spark: SparkSession, sf_dir: str) -> quality.Model:
+    """Learned from the labelled documents that are not held out."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    labels = table(spark, sf_dir, "labels", "doc_id", "quality")
+    return quality.fit(docs, labels.where(~held_out()))
+
+
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    score = quality.score(F.col("text"), quality_model(spark, sf_dir))
+    scored = docs.select("doc_id", held_out().alias("held_out"), score.alias("score"))
+    return scored.withColumn(
+        "predicted", F.when(F.col("score") >= QUALITY_AT_LEAST, 1).otherwise(0)
+    )
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
     profiles = langid.fit(docs.where(~held_out()))
@@ -55,6 +74,7 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op2_quality_classifier": op2_quality_classifier,
     "op4_language_id": op4_language_id,
     "op7_chat_format": op7_chat_format,
 }
