@@ -3,12 +3,13 @@
 Encoding. The encoding of a prefix has one last token, and two tokens can stand side
 by side exactly if undoing their merges, the latest first, never meets a merge
 across the border that would have come earlier. That gives a nondeterministic
-transducer: a hypothesis holds the tokens up to some byte and the place in the
+transducer: a hypothesis is the last token before some byte and the place in the
 vocabulary's trie of the bytes since. Reading a byte moves every hypothesis; the one
-that completes a compatible token starts a new one. Tokens that all hypotheses share
-are emitted, so output lags by a bounded lookahead. Sets of hypotheses are the states
+that completes a compatible token starts a new one. Sets of hypotheses are the states
 of the deterministic machine; states and moves are made when first needed, kept in
-a bounded table, and found by one lookup a byte from then on.
+a bounded table, and found by one lookup a byte from then on. Each move puts out the
+last token of the prefix read so far; the tokens on which all hypotheses rest are
+final, and are emitted every ``LOOKAHEAD`` bytes and at the end.
 
 Decoding. Ids become bytes; a state machine over UTF-8 byte classes emits characters as
 soon as they are complete and one U+FFFD per ill-formed part, across chunks.
@@ -26,12 +27,14 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 import pandas as pd
 import regex
+import tiktoken
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from weirline.llm.tokens import ChunkEncoder
 
 END = -1  # stands before the first token
+LOOKAHEAD = 4096  # bytes of a piece that are read before its tokens are emitted
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -43,29 +46,30 @@ def read_ranks(path: str) -> dict[bytes, int]:
 class Transducer:
     """Encodes pieces by ranks; ``ranks`` must hold every single byte."""
 
-    def __init__(self, ranks: dict[bytes, int], max_states: int = 200_000):
+    def __init__(self, ranks: dict[bytes, int], max_states: int = 300_000):
         self.ranks, self.max_states = ranks, max_states
         self.bytes_of = {rank: token for token, rank in ranks.items()}
         self.halves: dict[int, tuple[int, int] | None] = {}
         self.fits: dict[tuple[int, int], bool] = {}
         self.child: dict[int, int] = {}
-        self.token_at = [None]
+        self.token_at, self.depth = [None], [0]
         for token, rank in ranks.items():
             node = 0
             for byte in token:
-                key = node << 8 | byte
+                key, node_before = node << 8 | byte, node
                 node = self.child.get(key, 0)
                 if not node:
                     node = self.child[key] = len(self.token_at)
                     self.token_at.append(None)
+                    self.depth.append(self.depth[node_before] + 1)
             self.token_at[node] = rank
         self._forget()
 
     def _forget(self):
         """A machine with the start state alone."""
-        self.states = [(((END,), 0),)]
+        self.states = [((END, 0),)]
         self.number = {self.states[0]: 0}
-        self.moves: dict[int, tuple[int, tuple[int, ...]]] = {}
+        self.moves: dict[int, tuple[int, int]] = {}
         self.fits.clear()
 
     def undo(self, token: int) -> tuple[int, int] | None:
@@ -125,30 +129,45 @@ class Transducer:
             else:
                 due, right = right + 0.5, right_parts[0]
 
-    def _move(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
-        hypotheses, done = [], None
-        for chain, node in self.states[state]:
-            after = self.child.get(node << 8 | byte)
-            if after is None:
+    def _move(self, state: int, byte: int) -> tuple[int, int]:
+        """Next state, and the last token of the prefix up to this byte."""
+        after, ended = [], None
+        for last, node in self.states[state]:
+            node = self.child.get(node << 8 | byte)
+            if node is None:
                 continue
-            hypotheses.append((chain, after))
-            token = self.token_at[after]
-            if done is None and token is not None and self.compatible(chain[-1], token):
-                done = (*chain, token)
-        if done is not None:
-            hypotheses.append((done, 0))
-        shared = 1
-        while all(len(c) > shared and c[shared] == hypotheses[0][0][shared] for c, _ in hypotheses):
-            shared += 1
-        emitted = hypotheses[0][0][1:shared]
-        key = tuple((chain[shared - 1 :], node) for chain, node in hypotheses)
+            after.append((last, node))
+            token = self.token_at[node]
+            if ended is None and token is not None and self.compatible(last, token):
+                ended = token
+        after.append((ended, 0))
+        key = tuple(after)
         number = self.number.get(key)
         if number is None:
             number = self.number[key] = len(self.states)
             self.states.append(key)
-        found = self.moves[state << 8 | byte] = (number, emitted)
+        found = self.moves[state << 8 | byte] = (number, ended)
         return found
 
+    def _rest(self, last: list[int], end: int) -> tuple[list[int], list[int]]:
+        """Tokens of ``last[:end]`` from the back, and the places where they start."""
+        tokens, starts = [], []
+        while end:
+            token = last[end - 1]
+            end -= len(self.bytes_of[token])
+            tokens.append(token)
+            starts.append(end)
+        return tokens, starts
+
+    def _settled(self, last: list[int], state: int) -> int:
+        """The latest place at which every hypothesis has a border."""
+        borders = None
+        for _, node in self.states[state]:
+            end = len(last) - self.depth[node]
+            own = {end, *self._rest(last, end)[1]}
+            borders = own if borders is None else borders & own
+        return max(borders)
+
     def encode(self, piece: bytes) -> list[int]:
         """Ids of one piece; a piece that is itself a token is that token."""
         whole = self.ranks.get(piece)
@@ -156,23 +175,71 @@ class Transducer:
             return [whole]
         if len(self.states) > self.max_states:
             self._forget()
-        out, state, moves = [], 0, self.moves
+        out, last, state, moves = [], [], 0, self.moves
         for byte in piece:
-            found = moves.get(state << 8 | byte) or self._move(state, byte)
-            state, emitted = found
-            if emitted:
-                out += emitted
-        out += next((chain[1:] for chain, node in self.states[state] if node == 0), ())
+            found = moves.get(state << 8 | byte)
+            if found is None:
+                found = self._move(state, byte)
+            state, token = found
+            last.append(token)
+            if len(last) > 2 * LOOKAHEAD:
+                settled = self._settled(last, state)
+                out += self._rest(last, settled)[0][::-1]
+                del last[:settled]
+        out += self._rest(last, len(last))[0][::-1]
         return out
 
 
+class Splitter:
+    """Pieces of a text by a pattern, with the character classes of the encoding
+    library's own, older Unicode tables: a character on which the two disagree is
+    matched as a stand-in of its class there."""
+
+    # A stand-in for letters, numbers, white space and all else.
+    CLASSES = ((r"\p{L}", "\u01bb"), (r"\p{N}", "\u00bc"), (r"\s", "\u2003"), (".", "\u2022"))
+
+    def __init__(self, pattern: str):
+        self.pattern = regex.compile(pattern)
+        bytewise = {bytes([b]): b for b in range(256)}
+        self.tests = [
+            (
+                regex.compile(kind, regex.DOTALL),
+                tiktoken.Encoding(
+                    "class", pat_str=kind, mergeable_ranks=bytewise, special_tokens={}
+                ),
+                shown,
+            )
+            for kind, shown in self.CLASSES[:3]
+        ]
+        self.same = {chr(c) for c in range(128)}
+        self.shown: dict[str, str] = {}
+
+    def _check(self, characters: set[str]) -> bool:
+        """Whether any of the characters needs its stand-in."""
+        for c in characters - self.same - self.shown.keys():
+            here = [bool(mine.match(c)) for mine, _, _ in self.tests]
+            there = [bool(theirs.encode_ordinary(c)) for _, theirs, _ in self.tests]
+            if here == there:
+                self.same.add(c)
+            else:
+                kinds = [shown for (_, _, shown), yes in zip(self.tests, there, strict=True) if yes]
+                self.shown[c] = (kinds or [self.CLASSES[3][1]])[0]
+        return not characters <= self.same
+
+    def __call__(self, text: str) -> list[str]:
+        if text.isascii() or not self._check(set(text)):
+            return self.pattern.findall(text)
+        seen = "".join(self.shown.get(c, c) for c in text)
+        return [text[m.start() : m.end()] for m in self.pattern.finditer(seen)]
+
+
 def text_encoder(ranks: dict[bytes, int], pattern: str) -> ChunkEncoder:
     """Packed ids of whole texts; each match of ``pattern`` is encoded on its own."""
-    machine, pieces = Transducer(ranks), regex.compile(pattern)
+    machine, pieces = Transducer(ranks), Splitter(pattern)
 
     def encode(text: str) -> bytes:
         ids = []
-        for piece in pieces.findall(text):
+        for piece in pieces(text):
             ids += machine.encode(piece.encode("utf-8", "replace"))
         return np.array(ids, "<u4").tobytes()
 

@@ -7,10 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weirline.llm import chat, langid, packing, quality
+from weirline.llm import bpe, chat, langid, packing, quality
 from weirline.llm.common import held_out, stored, table
 
 BYTE_BPE = "byte_bpe_50k.json"
+MULTI_BPE = "byte_bpe_multi_50k.tiktoken"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -72,11 +73,27 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.format_chats(turns.unionByName(probe)))
 
 
+def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from public_tokenizers import PATTERN
+
+    path = tokenizer_file(MULTI_BPE)
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    coded = docs.select("doc_id", bpe.encode(F.col("text"), path, PATTERN).alias("ids"))
+    decoded = F.encode(bpe.decode(F.col("ids"), path), "UTF-8")
+    return coded.select(
+        "doc_id",
+        F.floor(F.length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(decoded, 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_quality_classifier": op2_quality_classifier,
     "op4_language_id": op4_language_id,
     "op7_chat_format": op7_chat_format,
+    "op9_byte_bpe": op9_byte_bpe,
 }
 
 ORACLE_SQL: dict[str, str] = {}
