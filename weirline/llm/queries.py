@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weirline.llm import bpe, chat, langid, packing, quality
+from weirline.llm import bpe, chat, langid, packing, quality, simhash
 from weirline.llm.common import held_out, stored, table
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -62,6 +62,10 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "found.lang_pred", "found.score")
 
 
+def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
     probe = spark.range(2).select(
@@ -92,6 +96,7 @@ QUERIES: dict[str, Query] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_quality_classifier": op2_quality_classifier,
     "op4_language_id": op4_language_id,
+    "op5_simhash_dedup": op5_simhash_dedup,
     "op7_chat_format": op7_chat_format,
     "op9_byte_bpe": op9_byte_bpe,
 }
