@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weirline.llm import bpe, chat, langid, packing, quality, simhash
+from weirline.llm import bpe, chat, embed_dedup, langid, packing, quality, simhash
 from weirline.llm.common import held_out, stored, table
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -77,6 +77,10 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.format_chats(turns.unionByName(probe)))
 
 
+def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_dedup.near_duplicates(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from public_tokenizers import PATTERN
 
@@ -98,6 +102,7 @@ QUERIES: dict[str, Query] = {
     "op4_language_id": op4_language_id,
     "op5_simhash_dedup": op5_simhash_dedup,
     "op7_chat_format": op7_chat_format,
+    "op8_embedding_dedup": op8_embedding_dedup,
     "op9_byte_bpe": op9_byte_bpe,
 }
 
