@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weirline.llm import bpe, chat, embed_dedup, langid, packing, quality, simhash
+from weirline.llm import ann, bpe, chat, embed_dedup, langid, packing, quality, simhash
 from weirline.llm.common import held_out, stored, table
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -66,6 +66,11 @@ def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op6_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    return ann.search(vectors, F.col("id") % 20 == 0)
+
+
 def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
     probe = spark.range(2).select(
@@ -101,6 +106,7 @@ QUERIES: dict[str, Query] = {
     "op2_quality_classifier": op2_quality_classifier,
     "op4_language_id": op4_language_id,
     "op5_simhash_dedup": op5_simhash_dedup,
+    "op6_nearest_neighbours": op6_nearest_neighbours,
     "op7_chat_format": op7_chat_format,
     "op8_embedding_dedup": op8_embedding_dedup,
     "op9_byte_bpe": op9_byte_bpe,

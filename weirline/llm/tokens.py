@@ -12,6 +12,7 @@ import re
 from collections.abc import Callable
 
 CUT = re.compile(r" (?=\S)")
+MARKS = ".,"
 WORD_BYTES = 4  # ids are unsigned, little-endian, 32 bits
 
 
@@ -28,25 +29,51 @@ class ChunkEncoder:
         self.encode_words, self.encode_text, self.max_cached = encode_words, encode_text, max_cached
         self.words: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        self.marks: dict[str, bytes] = {}
 
     def __call__(self, text: str) -> bytes:
         """Packed ids of a whole text."""
         first, *rest = text.split(" ")
-        known = self.words.get
-        ids = [known(word) for word in rest]
-        if None in ids:
-            missing = list({w: None for w, i in zip(rest, ids, strict=True) if i is None})
-            if any(not w or w[0].isspace() for w in missing):
+        ids = list(map(self.words.get, rest))
+        at, places = -1, []
+        try:
+            while True:
+                at = ids.index(None, at + 1)
+                places.append(at)
+        except ValueError:
+            pass
+        if places:
+            if any(not rest[i] or rest[i][0].isspace() for i in places):
                 return self._spaced(text)
-            found = {w: self.older[w] for w in missing if w in self.older}
-            new = [w for w in missing if w not in found]
-            found.update(zip(new, self.encode_words(new), strict=True))
-            ids = [found[w] if i is None else i for w, i in zip(rest, ids, strict=True)]
-            if len(self.words) + len(found) > self.max_cached:
-                self.words, self.older = {}, self.words
-            self.words.update(found)
+            found = self._look_up(dict.fromkeys(rest[i] for i in places))
+            for i in places:
+                ids[i] = found[rest[i]]
         return self.encode_text(first) + b"".join(ids) if first else b"".join(ids)
 
+    def _look_up(self, words: dict[str, None]) -> dict[str, bytes]:
+        """Ids of words that the younger cache lacks."""
+        found, new = {}, []
+        for word in words:
+            ids = self.older.get(word)
+            if ids is None and word[-1] in MARKS and word[-2:-1].isalpha():
+                # The pattern parts a mark from the letters before it.
+                ids = self.words.get(word[:-1]) or self.older.get(word[:-1])
+                ids = ids and ids + self._mark(word[-1])
+            if ids is None:
+                new.append(word)
+            else:
+                found[word] = ids
+        found.update(zip(new, self.encode_words(new), strict=True))
+        if len(self.words) + len(found) > self.max_cached:
+            self.words, self.older = {}, self.words
+        self.words.update(found)
+        return found
+
+    def _mark(self, mark: str) -> bytes:
+        if mark not in self.marks:
+            self.marks[mark] = self.encode_text(mark)
+        return self.marks[mark]
+
     def _spaced(self, text: str) -> bytes:
         """Texts with runs of white space: chunks may hold spaces inside."""
         chunks = CUT.split(text)
