@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,6 +45,21 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, name: str, keys: Sequence[str]) -> DataFrame:
+    """Like ``stored``, dealt out by ``keys`` so that joins on them leave it in place.
+    There are as many buckets as shuffle partitions."""
+    spark = df.sparkSession
+    table_name = f"{name.replace('-', '_')}_{uuid.uuid4().hex}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    (
+        df.repartition(buckets, *keys).write.bucketBy(buckets, *keys)
+        .option("compression", "zstd")
+        .option("path", f"{shared_dir(spark).rstrip('/')}/{table_name}")
+        .saveAsTable(table_name)
+    )
+    return spark.table(table_name)
+
+
 def fold(id_col: str = "doc_id") -> Column:
     """crc32 of the id as text, modulo the number of folds; a null id is in fold 0."""
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))) % FOLDS

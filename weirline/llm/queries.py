@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weirline.llm import ann, bpe, chat, embed_dedup, langid, packing, quality, simhash
+from weirline.llm import ann, bpe, chat, embed_dedup, langid, packing, quality, simhash, suffix
 from weirline.llm.common import held_out, stored, table
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -101,6 +101,10 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.removed_bytes(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_quality_classifier": op2_quality_classifier,
@@ -110,6 +114,7 @@ QUERIES: dict[str, Query] = {
     "op7_chat_format": op7_chat_format,
     "op8_embedding_dedup": op8_embedding_dedup,
     "op9_byte_bpe": op9_byte_bpe,
+    "op10_suffix_dedup": op10_suffix_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {}
