@@ -186,8 +186,9 @@ def keep_one(
     same = F.col(id_col).cast("long").eqNullSafe(F.col(ours[0])) & (
         F.col("simhash own") == F.col(ours[1])
     )
-    single = hashed.join(best.where(F.col(ours[2]) == 1), same, "left_semi")
-    # Repeated rows are few; only they are shuffled once more.
-    repeated = hashed.join(best.where(F.col(ours[2]) > 1), same, "left_semi")
-    kept = single.union(repeated.dropDuplicates([id_col, "simhash own"]))
+    once, again = (best.where(F.col(ours[2]) == 1), best.where(F.col(ours[2]) > 1))
+    kept = hashed.join(once, same, "left_semi")
+    if not again.isEmpty():  # repeated rows: one of each, in a shuffle of their own
+        repeated = hashed.join(again, same, "left_semi")
+        kept = kept.union(repeated.dropDuplicates([id_col, "simhash own"]))
     return kept.select(*(F.col(f"`{c}`") for c in docs.columns))

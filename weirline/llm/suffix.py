@@ -400,8 +400,9 @@ def _marks(docs: DataFrame, text_col: str, settings: Settings) -> tuple[DataFram
     return texts, cut(marks)
 
 
-def _cleaned(docs: DataFrame, text_col: str, settings: Settings) -> DataFrame:
-    """Texts that lose bytes: ``h1, h2, n_removed, n_spans, kept`` (bytes)."""
+def _cleaned(docs: DataFrame, text_col: str, settings: Settings, whole=False) -> DataFrame:
+    """Texts that lose bytes: ``h1, h2, n_removed, n_spans, kept`` (bytes; if ``whole``,
+    without parts of cut characters)."""
     texts, marks = _marks(docs, text_col, settings)
     schema = pa.schema(
         [("h1", pa.int64()), ("h2", pa.int64()), ("n_removed", pa.int64()),
@@ -422,6 +423,7 @@ def _cleaned(docs: DataFrame, text_col: str, settings: Settings) -> DataFrame:
                 np.add.at(edges, high + settings.length, -1)
                 covered = np.cumsum(edges[:-1]) > 0
                 kept = np.frombuffer(data, np.uint8)[~covered].tobytes()
+                kept = kept.decode("utf-8", "ignore").encode() if whole else kept
                 yield h1[i], h2[i], int(covered.sum()), len(runs(covered)), kept
 
     lossy = texts.join(marks.hint("merge"), list(TEXT), "left").where(
@@ -458,11 +460,10 @@ def remove(
     docs: DataFrame, settings: Settings | None = None, *, text_col: str = "text"
 ) -> DataFrame:
     """``docs`` with the repeated bytes cut out of the text; all columns and rows stay."""
-    cleaned = _cleaned(docs, text_col, settings or Settings())
-    whole = F.udf(lambda kept: None if kept is None else bytes(kept).decode("utf-8", "ignore"))
+    cleaned = _cleaned(docs, text_col, settings or Settings(), whole=True)
     cut_texts = cleaned.select(
         F.col("h1").alias("suffix h1"), F.col("h2").alias("suffix h2"),
-        whole("kept").alias("suffix kept"),
+        F.decode("kept", "UTF-8").alias("suffix kept"),
     )
     h1, h2 = _digests(text_col)
     rows = docs.withColumns({"suffix h1": h1, "suffix h2": h2})
