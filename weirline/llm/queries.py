@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weirline.llm import ann, bpe, chat, embed_dedup, langid, packing, quality, simhash, suffix
+from weirline.llm import ann, bpe, chat, embed_dedup, langid, licenses, packing, quality, simhash, suffix
 from weirline.llm.common import held_out, stored, table
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -54,6 +54,10 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
     profiles = langid.fit(docs.where(~held_out()))
@@ -108,6 +112,7 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_quality_classifier": op2_quality_classifier,
+    "op3_license_scan": op3_license_scan,
     "op4_language_id": op4_language_id,
     "op5_simhash_dedup": op5_simhash_dedup,
     "op6_nearest_neighbours": op6_nearest_neighbours,
@@ -117,4 +122,4 @@ QUERIES: dict[str, Query] = {
     "op10_suffix_dedup": op10_suffix_dedup,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op3_license_scan": licenses.oracle_sql()}
