@@ -12,7 +12,7 @@ rows is many tasks. Candidates are scored exactly, in doubles, on the original v
 
 Defined results: vectors that are null, empty or zero, or hold null or non-finite
 components, take no part, nor do rows without id or vectors whose length is not the
-most common one (the longer at a tie); of rows with the same id one counts, the one
+most common one (the longer at a tie); scores beyond a double are infinite; of rows with the same id one counts, the one
 with the smallest packed vector; ties go to the smaller id; a query has fewer
 neighbours if there are fewer candidates; an empty table gives no rows.
 """
@@ -61,6 +61,7 @@ class Tree:
 
     def assign(self, rows: np.ndarray) -> np.ndarray:
         """Leaf of each row: down to the nearest centre at every level."""
+        rows = _tame(rows)
         at = np.zeros(len(rows), np.int64)
         waiting = [0]
         while waiting:
@@ -78,6 +79,7 @@ class Tree:
 
     def visits(self, query: np.ndarray, most: int | None = None) -> list[int]:
         """Leaves in the order in which a best-bin-first walk opens them."""
+        query = _tame(query)
         length, found = float(np.linalg.norm(query)), []
         queue = [(0.0, 0)]
         while queue and (most is None or len(found) < most):
@@ -90,6 +92,11 @@ class Tree:
         return found
 
 
+def _tame(rows: np.ndarray) -> np.ndarray:
+    """For the walk only: components so large that their squares overflow are cut."""
+    return np.clip(rows, -1e100, 1e100)
+
+
 def _kmeans(rows: np.ndarray, k: int, rounds: int, rng) -> np.ndarray:
     centres = rows[rng.choice(len(rows), k, replace=False)]
     for _ in range(rounds):
@@ -103,7 +110,7 @@ def _kmeans(rows: np.ndarray, k: int, rounds: int, rng) -> np.ndarray:
 
 def fit(rows: np.ndarray, settings: Settings) -> Tree:
     """Tree over sampled vectors. Its height and size are bounded by the sample."""
-    rng = np.random.default_rng(settings.seed)
+    rng, rows = np.random.default_rng(settings.seed), _tame(rows)
     children, centres, spreads, leaves = [[]], [rows.mean(0)], [0.0], []
     waiting = [(0, np.arange(len(rows)))]
     while waiting:
@@ -140,16 +147,20 @@ def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
 def _search(queries: np.ndarray, query_ids, rows: np.ndarray, ids, k: int) -> Iterator[tuple]:
     """Per query the k best rows but its own. The products pick a few more than k, which
     are scored again one by one, so that equal vectors have equal scores."""
-    products = queries @ rows.T
-    slack = 1e-9 * np.linalg.norm(queries, axis=1) * max(np.linalg.norm(rows, axis=1).max(), 1e-300)
+    with np.errstate(over="ignore", invalid="ignore"):
+        products = np.nan_to_num(queries @ rows.T, nan=-np.inf, posinf=np.inf, neginf=-np.inf)
+        largest = max(np.linalg.norm(rows, axis=1).max(), 1e-300)
+        slack = np.nan_to_num(1e-9 * np.linalg.norm(queries, axis=1) * largest, nan=np.inf)
     for i, query in enumerate(query_ids):
         allowed = np.flatnonzero(ids != query)
         if not len(allowed):
             continue
         rough = products[i, allowed]
-        least = np.partition(rough, len(rough) - k)[len(rough) - k] if len(rough) > k else -np.inf
-        near = allowed[rough >= least - slack[i]]
-        scores = (rows[near] * queries[i]).sum(1)
+        near = allowed
+        if len(rough) > k and np.isfinite(slack[i]):
+            near = allowed[rough >= np.partition(rough, len(rough) - k)[len(rough) - k] - slack[i]]
+        with np.errstate(over="ignore", invalid="ignore"):
+            scores = (rows[near] * queries[i]).sum(1)
         best = _best(scores, ids[near], k)
         yield query, ids[near[best]], scores[best]
 
