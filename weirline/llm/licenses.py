@@ -138,17 +138,23 @@ def scan(
         templates = rows.select(
             "license", "wanted", F.posexplode(_signature(F.col("template hashes"), n))
         ).withColumnsRenamed({"pos": "band", "col": "value"})
+        # Windows are cut out inside the row; only those that may match leave it.
         starts = F.sequence(F.lit(1), F.size("hashes"), F.lit(size))
-        window = F.slice("hashes", F.col("start"), F.lit(2 * size))
-        windows = (
-            hits.select("row", "doc_id", "words", "hashes", F.explode(starts).alias("start"))
-            .withColumn("window", window)
-            .where(F.exists("window", lambda h: h.isin(every)))
+        likely = F.filter(
+            starts, lambda i: F.exists(F.slice("hashes", i, F.lit(2 * size)), lambda h: h.isin(every))
         )
-        signed = windows.select(
-            "row", "doc_id", "start",
-            F.slice("words", F.col("start"), F.lit(2 * size + k - 1)).alias("inside"),
-            F.posexplode(_signature(F.col("window"), n)).alias("band", "value"),
+        windows = F.transform(
+            likely,
+            lambda i: F.struct(
+                i.alias("start"),
+                F.slice("hashes", i, F.lit(2 * size)).alias("window"),
+                F.slice("words", i, F.lit(2 * size + k - 1)).alias("inside"),
+            ),
+        )
+        cut_out = hits.select("row", "doc_id", F.explode(windows).alias("w"))
+        signed = cut_out.select(
+            "row", "doc_id", "w.start", "w.inside",
+            F.posexplode(_signature(F.col("w.window"), n)).alias("band", "value"),
         )
         met = signed.join(F.broadcast(templates), ["band", "value"])  # the fixed list
         pairs = met.groupBy("row", "doc_id", "start", "license").agg(
