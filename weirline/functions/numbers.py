@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _RATIO = "decimal(38,10)"
+_EXACT = "decimal(28,10)"
 
 
 def nan_to_null(df: DataFrame, name: str) -> Column:
@@ -29,29 +32,39 @@ def to_count(df: DataFrame, name: str) -> Column:
     return col.cast("bigint")
 
 
-def ratio(numerator: Column, denominator: Column) -> Column:
-    """Fractional quotient, NULL on a zero denominator."""
-    return F.try_divide(numerator.cast("double"), denominator.cast("double"))
-
-
 def round_half_up(col: Column, places: int) -> Column:
     """Round by decimal digits, so 0.285 gives 0.29 whatever its binary form."""
     return F.round(col.cast(_RATIO), places)
 
 
-def round_ratio(numerator: Column, denominator: Column, places: int) -> Column:
-    return round_half_up(ratio(numerator, denominator), places)
+def round_ratio(numerator: Column, denominator: Column, places: int, scale: int = 1) -> Column:
+    """``scale`` times the quotient, rounded half up once; NULL on a zero denominator.
+
+    The digits kept are a whole number, found by dividing exact decimals: nothing
+    is rounded on the way, however large the sums (below 10^18 with 10 decimals).
+    """
+    a, b = numerator.cast(_EXACT), denominator.cast(_EXACT)
+    twice = F.abs(a) * F.lit(2 * scale * 10**places) + F.abs(b)
+    digits = F.call_function("div", twice, F.abs(b) * F.lit(2))
+    signed = F.when((a < 0) != (b < 0), -digits).otherwise(digits)
+    exact = signed.cast("decimal(20,0)") * F.lit(Decimal(1).scaleb(-places))
+    return F.when(b != 0, exact)
 
 
 def percent(numerator: Column, denominator: Column, places: int = 2) -> Column:
-    return round_half_up(ratio(numerator, denominator) * 100, places)
+    return round_ratio(numerator, denominator, places, scale=100)
+
+
+def mean(column: str, places: int) -> Column:
+    """Mean of the values that are there, rounded once."""
+    return round_ratio(F.sum(column), F.count(column), places)
 
 
-def for_report(df: DataFrame, places: int = 4) -> DataFrame:
-    """Decimals as rounded doubles, the form a report or CSV file shows."""
+def for_report(df: DataFrame) -> DataFrame:
+    """Decimals as doubles, with all their digits, the form a report or CSV file shows."""
     return df.select(
         *[
-            F.round(F.col(f.name), places).cast("double").alias(f.name)
+            F.col(f.name).cast("double").alias(f.name)
             if isinstance(f.dataType, T.DecimalType)
             else F.col(f.name)
             for f in df.schema.fields

@@ -129,15 +129,15 @@ def product_month(orders: DataFrame, products: DataFrame) -> DataFrame:
 # -- funnel and targets -----------------------------------------------------
 
 
-def fact_funnel(events: DataFrame) -> DataFrame:
+def fact_funnel(events: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """Day x region; a stage without events counts 0, without visits no rate."""
-    stage, n = F.col("event_type"), F.col("count")
+    stage, n, label = F.col("event_type"), F.col("count"), settings.event_labels
     return (
         events.groupBy(F.col("event_date").alias("date"), "region")
         .agg(
-            sum_where(stage == "Visit", n).alias("visits"),
-            sum_where(stage == "Add_To_Cart", n).alias("add_to_cart"),
-            sum_where(stage == "Purchase", n).alias("purchases"),
+            sum_where(stage == label["visit"], n).alias("visits"),
+            sum_where(stage == label["add_to_cart"], n).alias("add_to_cart"),
+            sum_where(stage == label["purchase"], n).alias("purchases"),
         )
         .withColumn("conversion_rate", round_ratio(F.col("purchases"), F.col("visits"), 4))
     )

@@ -11,9 +11,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from weirline.functions.numbers import percent, ratio, round_half_up, round_ratio
+from weirline.functions.numbers import mean, percent, round_ratio
 from weirline.plans import gold
-from weirline.settings import Settings
+from weirline.settings import RECOVERY_SCENARIO, Settings
 
 
 def gap_percent(variance: Column, target: Column) -> Column:
@@ -27,7 +27,7 @@ def executive_measures() -> list[Column]:
         F.sum("actual_revenue").alias("total_revenue"),
         F.sum("target_revenue").alias("total_target"),
         F.sum("variance").alias("revenue_variance"),
-        round_half_up(F.avg("achievement_pct"), 4).alias("avg_achievement_pct"),
+        mean("achievement_pct", 4).alias("avg_achievement_pct"),
         gap_percent(F.sum("variance"), F.sum("target_revenue")).alias("revenue_gap_pct"),
     ]
 
@@ -42,14 +42,14 @@ def rate_measures() -> list[Column]:
 
 def funnel_measures() -> list[Column]:
     """Over funnel rows (day x region): mean of the rates, not rate of the totals."""
-    return [round_half_up(F.avg("conversion_rate"), 4).alias("avg_conversion_rate")]
+    return [mean("conversion_rate", 4).alias("avg_conversion_rate")]
 
 
 def recovery_measures() -> list[Column]:
     """Over region rows of the recovery view."""
     return [
         F.sum("leakage_amount").alias("total_leakage"),
-        F.sum("realistic_recovery").alias("recovery_potential"),
+        F.sum(f"{RECOVERY_SCENARIO}_recovery").alias("recovery_potential"),
     ]
 
 
@@ -144,7 +144,7 @@ def kpi_by_region_month(sales: DataFrame, targets: DataFrame, funnel: DataFrame)
 def achievement_by_quarter(monthly: DataFrame) -> DataFrame:
     return measure(
         monthly,
-        [round_half_up(F.avg("achievement_pct"), 4).alias("avg_achievement_pct")],
+        [mean("achievement_pct", 4).alias("avg_achievement_pct")],
         [F.quarter("month").alias("quarter")],
     ).orderBy("quarter")
 
@@ -192,8 +192,8 @@ def funnel_totals(funnel: DataFrame) -> DataFrame:
         round_ratio(cart, visits, 4).alias("cart_rate"),
         round_ratio(purchases, cart, 4).alias("checkout_rate"),
         round_ratio(purchases, visits, 4).alias("conversion_rate"),
-        round_half_up(1 - ratio(cart, visits), 4).alias("cart_drop_off"),
-        round_half_up(1 - ratio(purchases, cart), 4).alias("checkout_drop_off"),
+        round_ratio(visits - cart, visits, 4).alias("cart_drop_off"),
+        round_ratio(cart - purchases, cart, 4).alias("checkout_drop_off"),
     )
 
 

@@ -81,7 +81,7 @@ def build_gold(
     write("dim_region", gold.dim_region(orders))
     write("fact_revenue", gold.fact_revenue(orders, products))
     write("fact_revenue_enriched", gold.fact_revenue_enriched(orders, products))
-    write("fact_funnel", gold.fact_funnel(tables["stg_web_events"]))
+    write("fact_funnel", gold.fact_funnel(tables["stg_web_events"], settings))
     targets = write("fact_targets", gold.fact_targets(tables["stg_targets"], settings))
     sales = write("agg_sales", gold.sales_from_facts(out["fact_revenue"]))
     write("fact_revenue_monthly", gold.fact_revenue_monthly(sales, targets))

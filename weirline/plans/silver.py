@@ -19,7 +19,7 @@ from weirline.operators.audit import audit_keyed, audit_rows, union_all
 from weirline.operators.median import fill_median
 from weirline.operators.rows import drop_null_rows, fill_constant, keep_at_most, keep_first
 from weirline.settings import Settings
-from weirline.sources.schemas import POSITION
+from weirline.sources.schemas import LINE, POSITION
 
 KEYS = {
     "customers": ["customer_id"],
@@ -29,6 +29,11 @@ KEYS = {
 }
 
 
+def order_keys(raw: DataFrame) -> list[str]:
+    """Orders are told apart by id, and by line where the source has lines."""
+    return KEYS["orders"] + [LINE] * (LINE in raw.columns)
+
+
 def _order_by(raw: DataFrame) -> list[str]:
     return [POSITION] if POSITION in raw.columns else []
 
@@ -75,7 +80,7 @@ def clean_order_lines(raw: DataFrame, settings: Settings = Settings()) -> DataFr
     even if a later copy has one. Sources that keep date, buyer or region in
     other tables clean their lines with this first and join the survivors.
     """
-    df = _first_rows(raw, KEYS["orders"])
+    df = _first_rows(raw, order_keys(raw))
     df = df.withColumn("order_value", nan_to_null(df, "order_value"))
     df = drop_null_rows(df, ["order_value"])
     # The cut sees the value as given; only then is it brought to its scale.
@@ -139,7 +144,7 @@ def etl_audit(raw: dict[str, DataFrame], settings: Settings = Settings()) -> Dat
             audit_keyed(
                 orders,
                 "orders",
-                KEYS["orders"],
+                order_keys(orders),
                 _order_by(orders),
                 keep=value <= F.lit(settings.order_value_cap),
             ),

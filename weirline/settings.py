@@ -38,6 +38,10 @@ SCENARIOS = {
 }
 
 
+# The scenario behind the recovery potential measure.
+RECOVERY_SCENARIO = "realistic"
+
+
 @dataclass(frozen=True)
 class Settings:
     order_value_cap: int = 50000
@@ -60,3 +64,11 @@ class Settings:
     money: T.DecimalType = MONEY
     rate: T.DecimalType = RATE
     base_price: T.DataType = T.LongType()
+    text_width: int | None = None  # of text columns in an external database; None: unbounded
+
+    def __post_init__(self) -> None:
+        missing = set(EVENT_LABELS) - set(self.event_labels)
+        if missing:
+            raise ValueError(f"event_labels lacks {sorted(missing)}")
+        if RECOVERY_SCENARIO not in self.scenarios:
+            raise ValueError(f"scenarios lacks {RECOVERY_SCENARIO!r}, the one measures report")

@@ -23,6 +23,9 @@ RAW_COLUMNS = {
 
 POSITION = "_pos"
 
+# Sources whose orders have numbered lines add this column to the order key.
+LINE = "line_number"
+
 
 def raw_schema(entity: str) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in RAW_COLUMNS[entity]])

@@ -65,26 +65,42 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*[nan_to_null(df, f.name).cast(f.dataType).alias(f.name) for f in schema])
 
 
-def column_types(schema: T.StructType) -> str:
+def column_types(schema: T.StructType, text_width: int | None = None) -> str:
     """Column types for a table created in an external database: whole numbers
-    BIGINT, text VARCHAR(255), everything else as it is."""
+    BIGINT, text VARCHAR of a given width, everything else as it is. Without a
+    width text is left to the database's unbounded type."""
     whole = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
     parts = []
     for f in schema:
         if isinstance(f.dataType, T.StringType):
-            kind = "VARCHAR(255)"
+            if text_width is None:
+                continue
+            kind = f"VARCHAR({text_width})"
         else:
             kind = "BIGINT" if isinstance(f.dataType, whole) else f.dataType.simpleString().upper()
         parts.append(f"`{f.name}` {kind}")
     return ", ".join(parts)
 
 
-def write_jdbc(df: DataFrame, url: str, table: str, properties: Mapping[str, str]) -> None:
+def jdbc_options(
+    schema: T.StructType, properties: Mapping[str, str], text_width: int | None = None
+) -> dict[str, str]:
+    types = column_types(schema, text_width)
+    return {**({"createTableColumnTypes": types} if types else {}), **properties}
+
+
+def write_jdbc(
+    df: DataFrame,
+    url: str,
+    table: str,
+    properties: Mapping[str, str],
+    text_width: int | None = None,
+) -> None:
     """Full refresh of a table in an external database.
 
     Needs the database's JDBC driver on the class path. Every partition opens
     one connection; ``numPartitions`` and ``batchsize`` in ``properties`` bound
     the load on the server.
     """
-    options = {"createTableColumnTypes": column_types(df.schema), **properties}
+    options = jdbc_options(df.schema, properties, text_width)
     conform(df, df.schema).write.jdbc(url, table, mode="overwrite", properties=options)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from weirline.functions import dates, numbers, text
 from weirline.operators import audit, median, rows, rules
 from weirline.plans import gold, marts, measures, silver
-from weirline.sources.schemas import POSITION
+from weirline.sources.schemas import LINE, POSITION
 from weirline.workload import bindings as b
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -101,7 +101,7 @@ def _outlier_filter(f: Frames) -> DataFrame:
 
 def _fill_constant(f: Frames) -> DataFrame:
     return rows.fill_constant(
-        f.raw("orders").select("order_id", "discount_pct"), {"discount_pct": 0}
+        f.raw("orders").select("order_id", LINE, "discount_pct"), {"discount_pct": 0}
     )
 
 
