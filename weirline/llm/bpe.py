@@ -22,18 +22,23 @@ columns pass through. Unknown ids fail the decoding.
 from __future__ import annotations
 
 import base64
-from collections.abc import Callable, Iterable, Iterator
+import sys
+from array import array
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
 import tiktoken
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from weirline.llm.tokens import ChunkEncoder
+from weirline.llm.tokens import ChunkEncoder, spelled
 
-END = -1  # stands before the first token
+NODE_BITS = 32  # a hypothesis is last + 1 above, its trie node below; 0 is the start
+TOKEN_BITS = 24  # a move is the next state above, the last token below
+NODE, TOKEN = (1 << NODE_BITS) - 1, (1 << TOKEN_BITS) - 1
 LOOKAHEAD = 4096  # bytes of a piece that are read before its tokens are emitted
 
 
@@ -46,7 +51,7 @@ def read_ranks(path: str) -> dict[bytes, int]:
 class Transducer:
     """Encodes pieces by ranks; ``ranks`` must hold every single byte."""
 
-    def __init__(self, ranks: dict[bytes, int], max_states: int = 300_000):
+    def __init__(self, ranks: dict[bytes, int], max_states: int = 350_000):
         self.ranks, self.max_states = ranks, max_states
         self.bytes_of = {rank: token for token, rank in ranks.items()}
         self.halves: dict[int, tuple[int, int] | None] = {}
@@ -67,9 +72,9 @@ class Transducer:
 
     def _forget(self):
         """A machine with the start state alone."""
-        self.states = [((END, 0),)]
+        self.states: list[tuple[int, ...]] = [(0,)]
         self.number = {self.states[0]: 0}
-        self.moves: dict[int, tuple[int, int]] = {}
+        self.moves: dict[int, int] = {}
         self.fits.clear()
 
     def undo(self, token: int) -> tuple[int, int] | None:
@@ -105,7 +110,7 @@ class Transducer:
         """Whether the two tokens' bytes encode to just these two."""
         if not self.made(right):
             return False
-        if left == END:
+        if left < 0:
             return True
         key = (left, right)
         known = self.fits.get(key)
@@ -129,24 +134,25 @@ class Transducer:
             else:
                 due, right = right + 0.5, right_parts[0]
 
-    def _move(self, state: int, byte: int) -> tuple[int, int]:
+    def _move(self, state: int, byte: int) -> int:
         """Next state, and the last token of the prefix up to this byte."""
         after, ended = [], None
-        for last, node in self.states[state]:
-            node = self.child.get(node << 8 | byte)
+        for hypothesis in self.states[state]:
+            node = self.child.get((hypothesis & NODE) << 8 | byte)
             if node is None:
                 continue
-            after.append((last, node))
+            last = hypothesis >> NODE_BITS
+            after.append(last << NODE_BITS | node)
             token = self.token_at[node]
-            if ended is None and token is not None and self.compatible(last, token):
+            if ended is None and token is not None and self.compatible(last - 1, token):
                 ended = token
-        after.append((ended, 0))
+        after.append((ended + 1) << NODE_BITS)
         key = tuple(after)
         number = self.number.get(key)
         if number is None:
             number = self.number[key] = len(self.states)
             self.states.append(key)
-        found = self.moves[state << 8 | byte] = (number, ended)
+        found = self.moves[state << 8 | byte] = number << TOKEN_BITS | ended
         return found
 
     def _rest(self, last: list[int], end: int) -> tuple[list[int], list[int]]:
@@ -162,8 +168,8 @@ class Transducer:
     def _settled(self, last: list[int], state: int) -> int:
         """The latest place at which every hypothesis has a border."""
         borders = None
-        for _, node in self.states[state]:
-            end = len(last) - self.depth[node]
+        for hypothesis in self.states[state]:
+            end = len(last) - self.depth[hypothesis & NODE]
             own = {end, *self._rest(last, end)[1]}
             borders = own if borders is None else borders & own
         return max(borders)
@@ -180,8 +186,8 @@ class Transducer:
             found = moves.get(state << 8 | byte)
             if found is None:
                 found = self._move(state, byte)
-            state, token = found
-            last.append(token)
+            state = found >> TOKEN_BITS
+            last.append(found & TOKEN)
             if len(last) > 2 * LOOKAHEAD:
                 settled = self._settled(last, state)
                 out += self._rest(last, settled)[0][::-1]
@@ -233,6 +239,14 @@ class Splitter:
         return [text[m.start() : m.end()] for m in self.pattern.finditer(seen)]
 
 
+def packed(ids: list[int]) -> bytes:
+    """Ids as unsigned little-endian 32-bit integers."""
+    words = array("I", ids)
+    if sys.byteorder == "big":
+        words.byteswap()
+    return words.tobytes()
+
+
 def text_encoder(ranks: dict[bytes, int], pattern: str) -> ChunkEncoder:
     """Packed ids of whole texts; each match of ``pattern`` is encoded on its own."""
     machine, pieces = Transducer(ranks), Splitter(pattern)
@@ -241,9 +255,9 @@ def text_encoder(ranks: dict[bytes, int], pattern: str) -> ChunkEncoder:
         ids = []
         for piece in pieces(text):
             ids += machine.encode(piece.encode("utf-8", "replace"))
-        return np.array(ids, "<u4").tobytes()
+        return packed(ids)
 
-    return ChunkEncoder(lambda words: [encode(f" {w}") for w in words], encode)
+    return ChunkEncoder(lambda keys: [encode(spelled(k)) for k in keys], encode)
 
 
 def encode(text: Column, ranks_path: str, pattern: str) -> Column:
@@ -253,7 +267,7 @@ def encode(text: Column, ranks_path: str, pattern: str) -> Column:
     def encoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         encoder = text_encoder(read_ranks(ranks_path), pattern)
         for texts in batches:
-            yield pd.Series([encoder(t) if t else b"" for t in texts], dtype=object)
+            yield pd.Series(list(encoder.each(pa.array(texts, pa.string()))), dtype=object)
 
     return encoded(text)
 
@@ -355,8 +369,23 @@ def decode(ids: Column, ranks_path: str) -> Column:
 
     @F.pandas_udf("string")
     def decoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        decoder: Callable[[bytes], str] = Decoder(read_ranks(ranks_path))
-        for packed in batches:
-            yield pd.Series([decoder(p) if p else "" for p in packed], dtype=object)
+        decoder = Decoder(read_ranks(ranks_path))
+        for some in batches:
+            yield pd.Series([decoder(p) if p else "" for p in some], dtype=object)
 
     return decoded(ids)
+
+
+def round_trip(text: Column, ranks_path: str, pattern: str) -> Column:
+    """Struct of ``ids`` (as by ``encode``) and ``decoded`` (as by ``decode``, from the
+    ids alone), in one pass over the texts."""
+
+    @F.pandas_udf("ids binary, decoded string")
+    def coded(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        ranks = read_ranks(ranks_path)
+        encoder, decoder = text_encoder(ranks, pattern), Decoder(ranks)
+        for texts in batches:
+            ids = list(encoder.each(pa.array(texts, pa.string())))
+            yield pd.DataFrame({"ids": ids, "decoded": [decoder(i) for i in ids]})
+
+    return coded(text)

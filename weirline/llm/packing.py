@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from weirline.llm.tokens import WORD_BYTES, ChunkEncoder
+from weirline.llm.tokens import WORD_BYTES, ChunkEncoder, spelled
 
 ROWS_PER_BUCKET = 200_000
 PIECE_BATCH = 1000
@@ -38,23 +38,26 @@ def _encoder(path: str) -> ChunkEncoder:
 
     tokenizer = Tokenizer.from_file(path)
     size = tokenizer.get_vocab_size()
-    starts = np.array([(tokenizer.id_to_token(i) or "").startswith("Ġ") for i in range(size)])
+    # Byte-level spellings of a space and a line break: only the first token of a key has one.
+    starts = np.array(
+        [(tokenizer.id_to_token(i) or "").startswith(("Ġ", "Ċ")) for i in range(size)]
+    )
 
     def encode(text: str) -> np.ndarray:
         (found,) = tokenizer.encode_batch_fast([text], add_special_tokens=False)
         return np.array(found.ids, "<u4")
 
-    def words(missing: list[str]) -> list[bytes]:
+    def keys(missing: list[str]) -> list[bytes]:
         if not missing:
             return []
-        ids = encode("".join(f" {w}" for w in missing))
+        ids = encode("".join(map(spelled, missing)))
         places = np.flatnonzero(starts[ids])
-        if len(places) != len(missing):  # a special token hides the mark
-            return [encode(f" {w}").tobytes() for w in missing]
+        if len(places) != len(missing):  # a special token hides a mark, or a key has several
+            return [encode(spelled(k)).tobytes() for k in missing]
         data, ends = ids.tobytes(), [*(places[1:] * WORD_BYTES).tolist(), len(ids) * WORD_BYTES]
         return [data[a:b] for a, b in zip((places * WORD_BYTES).tolist(), ends, strict=True)]
 
-    return ChunkEncoder(words, lambda text: encode(text).tobytes())
+    return ChunkEncoder(keys, lambda text: encode(text).tobytes())
 
 
 def token_pieces(
@@ -72,9 +75,8 @@ def token_pieces(
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         encode = _encoder(tokenizer_path)
         for batch in batches:
-            for doc, text in zip(batch[0].to_pylist(), batch[1], strict=True):
-                text = text.as_py()
-                ids = (encode(text) if text else b"") + end
+            for doc, ids in zip(batch[0].to_pylist(), encode.each(batch[1]), strict=True):
+                ids += end
                 n = len(ids) // WORD_BYTES
                 cuts = [0, *range(n % capacity or capacity, n + 1, capacity)]
                 for piece, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):

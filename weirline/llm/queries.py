@@ -95,13 +95,12 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     path = tokenizer_file(MULTI_BPE)
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
-    coded = docs.select("doc_id", bpe.encode(F.col("text"), path, PATTERN).alias("ids"))
-    decoded = F.encode(bpe.decode(F.col("ids"), path), "UTF-8")
-    return coded.select(
+    coded = docs.select("doc_id", bpe.round_trip(F.col("text"), path, PATTERN).alias("coded"))
+    return coded.select("doc_id", "coded.ids", F.encode("coded.decoded", "UTF-8").alias("d")).select(
         "doc_id",
         F.floor(F.length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2(decoded, 256).alias("decoded_sha256"),
+        F.sha2("d", 256).alias("decoded_sha256"),
     )
 
 

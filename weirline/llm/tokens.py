@@ -1,78 +1,170 @@
-"""Token ids of whole texts, a chunk at a time.
+"""Token ids of whole texts, a batch at a time.
 
 The public splitting pattern never joins anything to a space that is followed by a
-non-space: a new piece starts there. Texts are therefore cut before each such space,
-and the ids of a chunk are looked up in a bounded cache of two generations. Only chunks
-not met lately reach the tokenizer, so cost follows the distinct chunks of a task.
+non-space: a new piece starts there. Texts are therefore split at spaces, the words of
+a batch made unique and looked up in a bounded table of words met lately, and their ids
+gathered in the order of the texts; all of that is Arrow's. Only words that are not in
+the table reach the tokenizer, so cost follows the number of different words of a task.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 CUT = re.compile(r" (?=\S)")
 MARKS = ".,"
+# Empty, or white space first: what str.isspace() holds for.
+RUN = (
+    r"^([\t-\r\x1c- \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}"
+    r"\x{205f}\x{3000}]|$)"
+)
+BATCH_BYTES = 1 << 23  # of text that is split at a time
 WORD_BYTES = 4  # ids are unsigned, little-endian, 32 bits
 
 
+def spelled(key: str) -> str:
+    return key if key[0] == "\n" else f" {key}"
+
+
+def _parts(word: str) -> list[tuple[str, str]]:
+    """Keys of the lines of a word, each with the mark that ends it. A single line break
+    between non-spaces is a piece of its own, and the pattern parts a mark from the
+    letters before it; other white space keeps a word whole."""
+    lines = word.split("\n")
+    if len(lines) > 1 and any(not x or x[0].isspace() or x[-1].isspace() for x in lines):
+        lines = [word]
+    out = []
+    for i, line in enumerate(lines):
+        mark = line[-1] if line[-1] in MARKS and line[-2:-1].isalpha() else ""
+        key = line[:-1] if mark else line
+        out.append((f"\n{key}" if i else key, mark))
+    return out
+
+
 class ChunkEncoder:
-    """``encode_words(words)`` gives the packed ids of each " word" (no inner space),
-    ``encode_text(text)`` those of any text on its own."""
+    """``encode_keys(keys)`` gives the packed ids of each key, ``encode_text(text)`` those
+    of any text on its own. A key is a word as it stands behind a space, or, if it
+    starts with a line break, behind that; ``spelled`` gives its text."""
 
     def __init__(
         self,
-        encode_words: Callable[[list[str]], list[bytes]],
+        encode_keys: Callable[[list[str]], list[bytes]],
         encode_text: Callable[[str], bytes],
         max_cached: int = 400_000,
     ):
-        self.encode_words, self.encode_text, self.max_cached = encode_words, encode_text, max_cached
-        self.words: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-        self.marks: dict[str, bytes] = {}
+        self.encode_keys, self.encode_text, self.max_cached = encode_keys, encode_text, max_cached
+        self.words, self.ids = pa.array([], pa.string()), pa.array([], pa.binary())
+        self.texts: dict[str, bytes] = {}  # ids of first words and of marks
 
     def __call__(self, text: str) -> bytes:
         """Packed ids of a whole text."""
-        first, *rest = text.split(" ")
-        ids = list(map(self.words.get, rest))
-        at, places = -1, []
-        try:
-            while True:
-                at = ids.index(None, at + 1)
-                places.append(at)
-        except ValueError:
-            pass
-        if places:
-            if any(not rest[i] or rest[i][0].isspace() for i in places):
-                return self._spaced(text)
-            found = self._look_up(dict.fromkeys(rest[i] for i in places))
-            for i in places:
-                ids[i] = found[rest[i]]
-        return self.encode_text(first) + b"".join(ids) if first else b"".join(ids)
-
-    def _look_up(self, words: dict[str, None]) -> dict[str, bytes]:
-        """Ids of words that the younger cache lacks."""
-        found, new = {}, []
-        for word in words:
-            ids = self.older.get(word)
-            if ids is None and word[-1] in MARKS and word[-2:-1].isalpha():
-                # The pattern parts a mark from the letters before it.
-                ids = self.words.get(word[:-1]) or self.older.get(word[:-1])
-                ids = ids and ids + self._mark(word[-1])
-            if ids is None:
-                new.append(word)
+        return next(self.each(pa.array([text])))
+
+    def each(self, texts: pa.Array) -> Iterator[bytes]:
+        """Packed ids of each text; null counts as empty."""
+        texts = pc.fill_null(texts.cast(pa.string()), "")
+        ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
+        start = 0
+        while start < len(texts):
+            base = ends[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(ends, base + BATCH_BYTES)))
+            yield from self._batch(texts.slice(start, stop - start))
+            start = stop
+
+    def _batch(self, texts: pa.Array) -> Iterator[bytes]:
+        split = pc.split_pattern(texts, " ")
+        bounds = np.concatenate([[0], np.cumsum(pc.list_value_length(split).to_numpy())])
+        flat = split.flatten()
+        firsts = flat.take(pa.array(bounds[:-1])).to_pylist()
+        coded = flat.dictionary_encode()
+        ids, runs = self._look_up(coded.dictionary)
+        at = coded.indices.to_numpy().copy()
+        at[bounds[:-1]] = len(ids)  # a first word has no space before it; see below
+        spaced = set()
+        if runs:
+            places = np.flatnonzero(np.isin(at, runs))
+            spaced.update((np.searchsorted(bounds, places, "right") - 1).tolist())
+        gathered = pa.concat_arrays([ids, pa.array([b""], pa.binary())]).take(pa.array(at))
+        _, offsets, data = gathered.buffers()
+        ends = np.frombuffer(offsets, np.int32)[gathered.offset + bounds].tolist()
+        data = memoryview(data) if data is not None else memoryview(b"")
+        for i, first in enumerate(firsts):
+            if i in spaced:
+                yield self._spaced(texts[i].as_py())
             else:
-                found[word] = ids
-        found.update(zip(new, self.encode_words(new), strict=True))
-        if len(self.words) + len(found) > self.max_cached:
-            self.words, self.older = {}, self.words
-        self.words.update(found)
-        return found
-
-    def _mark(self, mark: str) -> bytes:
-        if mark not in self.marks:
-            self.marks[mark] = self.encode_text(mark)
-        return self.marks[mark]
+                yield self._text(first) + bytes(data[ends[i] : ends[i + 1]])
+
+    def _text(self, text: str) -> bytes:
+        """Ids of a short text on its own."""
+        if not text:
+            return b""
+        if text not in self.texts:
+            if len(self.texts) > self.max_cached // 8:
+                self.texts.clear()
+            self.texts[text] = self.encode_text(text)
+        return self.texts[text]
+
+    def _look_up(self, words: pa.Array) -> tuple[pa.Array, list[int]]:
+        """Ids of different words, and the places of those that belong to a run of white
+        space (no ids): empty ones and those that start with white space."""
+        at = pc.index_in(words, value_set=self.words)
+        absent = pc.is_null(at)
+        run = pc.match_substring_regex(words, RUN)  # a key of the table may look like one
+        absent = pc.and_not(absent, run)
+        parted = pc.and_(absent, pc.match_substring_regex(words, r"[\n.,]"))
+        plain = pc.and_not(absent, parted)
+        simple, joined = words.filter(plain), words.filter(parted)
+        simple_ids = self.encode_keys(simple.to_pylist())
+        joined_ids, keys, key_ids = self._encode(joined.to_pylist(), simple, simple_ids)
+
+        new = [simple, joined, pa.array(keys, pa.string())]
+        known = pa.concat_arrays([self.words, *new])
+        new_ids = [pa.array(i, pa.binary()) for i in (simple_ids, joined_ids, key_ids)]
+        ids = pa.concat_arrays([self.ids, *new_ids, pa.array([b""], pa.binary())])
+        where = pc.fill_null(at, len(ids) - 1).to_numpy().copy()
+        where[run.to_numpy(zero_copy_only=False)] = len(ids) - 1
+        start = len(self.words)
+        for mask, part in ((plain, simple), (parted, joined)):
+            where[mask.to_numpy(zero_copy_only=False)] = start + np.arange(len(part))
+            start += len(part)
+        out = ids.take(pa.array(where))
+        if len(known) > self.max_cached:  # keep what was in use just now, if there is room
+            used = np.zeros(len(ids), bool)
+            used[where[: self.max_cached // 2]] = True
+            used = pa.array(used[:-1])
+            known, ids = known.filter(used), ids.slice(0, len(known)).filter(used)
+        self.words, self.ids = known, ids.slice(0, len(known))
+        return out, np.flatnonzero(run.to_numpy(zero_copy_only=False)).tolist()
+
+    def _encode(self, words: list[str], simple: pa.Array, simple_ids: list[bytes]):
+        """Ids of words with line breaks or marks, from those of their parts, which may be
+        known; and the parts that were not."""
+        parts = [_parts(word) for word in words]
+        keys = pa.array(dict.fromkeys(key for own in parts for key, _ in own), pa.string())
+        ids = dict(
+            zip(
+                keys.to_pylist(),
+                self.ids.take(pc.index_in(keys, value_set=self.words)).to_pylist(),
+                strict=True,
+            )
+        )
+        again = pc.index_in(keys, value_set=simple)
+        for key, at in zip(list(ids), again.to_pylist(), strict=True):
+            if at is not None:
+                ids[key] = simple_ids[at]
+        new = [key for key, known in ids.items() if known is None]
+        new_ids = self.encode_keys(new)
+        ids.update(zip(new, new_ids, strict=True))
+        text = self._text
+        joined = [b"".join([ids[key] + text(mark) for key, mark in own]) for own in parts]
+        own_keys = set(words)  # a word that is its own key is kept once
+        kept = [(k, i) for k, i in zip(new, new_ids, strict=True) if k not in own_keys]
+        return joined, [k for k, _ in kept], [i for _, i in kept]
 
     def _spaced(self, text: str) -> bytes:
         """Texts with runs of white space: chunks may hold spaces inside."""
