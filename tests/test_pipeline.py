@@ -142,8 +142,9 @@ def test_target_types(spark):
     got = conform(df, want)
     assert got.schema.simpleString() == want.simpleString()
     assert tuple(got.first()) == (D("2.5"), None, 1, "a")
-    assert column_types(want) == (
-        "`y` DECIMAL(18,4), `x` DOUBLE, `n` BIGINT, `k` VARCHAR(255)"
+    assert "`k`" not in column_types(want)
+    assert column_types(want, 40) == (
+        "`y` DECIMAL(18,4), `x` DOUBLE, `n` BIGINT, `k` VARCHAR(40)"
     )
 
 
@@ -154,13 +155,16 @@ def test_nan_is_empty_in_csv(spark, tmp_path):
     assert rows(back) == [(1, None), (2, 0.5)]
 
 
-def test_sizing_grows_and_stops():
+def test_sizing_grows_with_the_input():
     small, large = sizing(1 << 30), sizing(100 << 40)
     split, parts = "spark.sql.files.maxPartitionBytes", (
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     )
     assert (int(small[split]), int(small[parts])) == (128 << 20, 200)
-    assert (int(large[split]), int(large[parts])) == (1 << 30, 40_000)
+    assert int(large[parts]) == (100 << 40) // (512 << 20) == 204_800
+    maps = (100 << 40) // int(large[split])
+    assert (100 << 40) // (maps * int(large[parts])) >= 8 << 10
+    assert int(sizing(1 << 50)[parts]) == (1 << 50) // (512 << 20)
 
 
 # -- the published sample, where it is at hand --------------------------------

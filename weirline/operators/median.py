@@ -17,51 +17,42 @@ def _div(value: Column, by: int) -> Column:
 def exact_median(df: DataFrame, column: str) -> DataFrame:
     """One row, one column ``median``: interpolated, NULLs skipped.
 
-    Values are counted once (map-side combined, so a hot value is one row per
-    task). Both middle ranks are then narrowed digit block by digit block. A
-    pass sorts the counts of at most two blocks, each with at most 2 * 10**5
-    distinct prefixes (both signs share the block around zero), which the
-    decimal's precision proves; the values themselves stay distributed.
+    Both middle ranks are narrowed digit block by digit block. A pass reads the
+    column, keeps the values of the at most two open blocks and counts them by
+    their next digits, combined before the shuffle: no pass shuffles values, and
+    none has more than 2 * 10**5 groups a block (both signs share the block around
+    zero), which the decimal's precision proves. There is a pass per five digits
+    of precision, so ``df`` should be cheap to read again.
     """
     dtype = df.schema[column].dataType
     if not isinstance(dtype, T.DecimalType) or dtype.precision > 18:
         raise TypeError(f"exact_median needs decimal(<=18,s), got {dtype.simpleString()}")
 
     unscaled = (F.col(column) * F.lit(10**dtype.scale)).cast("bigint")
-    counts = (
-        df.where(F.col(column).isNotNull())
-        .groupBy(unscaled.alias("_u"))
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
-
-    levels = -(-dtype.precision // _DIGITS)
+    values = df.where(F.col(column).isNotNull()).select(unscaled.alias("_u"))
     blocks = None
-    for level in reversed(range(levels)):
-        width = 10 ** (_DIGITS * level)
-        tallies = counts.withColumn("_p", _div(F.col("_u"), width))
+    for level in reversed(range(-(-dtype.precision // _DIGITS))):
+        prefixes = values.select(_div(F.col("_u"), 10 ** (_DIGITS * level)).alias("_p"))
+        keys = ["_p"]
+        if blocks is not None:
+            # At most two rows: the blocks holding the two middle ranks.
+            parents = blocks.select(F.col("_p").alias("_parent"), "_lo", "_hi", "_before")
+            parent = _div(F.col("_p"), 10**_DIGITS)
+            prefixes = prefixes.withColumn("_parent", parent).join(
+                F.broadcast(parents), "_parent"
+            )
+            keys = ["_p", "_parent", "_lo", "_hi", "_before"]
+        tallies = prefixes.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
         if blocks is None:
-            tallies = tallies.groupBy("_p").agg(F.sum("_n").alias("_n"))
             tallies = tallies.withColumn("_parent", F.lit(0).cast("bigint"))
             total = F.sum("_n").over(Window.partitionBy("_parent"))
-            tallies = tallies.select(
-                "_p",
-                "_n",
-                F.shiftright(total - 1, 1).alias("_lo"),
-                F.shiftright(total, 1).alias("_hi"),
-                F.lit(0).cast("bigint").alias("_before"),
-                "_parent",
-            )
-        else:
-            # At most two rows: the blocks holding the two middle ranks.
-            parents = F.broadcast(
-                blocks.select(F.col("_p").alias("_parent"), "_lo", "_hi", "_before")
+            tallies = tallies.withColumns(
+                {
+                    "_lo": F.shiftright(total - 1, 1),
+                    "_hi": F.shiftright(total, 1),
+                    "_before": F.lit(0).cast("bigint"),
+                }
             )
-            tallies = tallies.withColumn("_parent", _div(F.col("_p"), 10**_DIGITS))
-            tallies = tallies.join(parents, "_parent")
-            if width > 1:  # the last prefix is the value, already counted once
-                tallies = tallies.groupBy("_p", "_parent", "_lo", "_hi", "_before").agg(
-                    F.sum("_n").alias("_n")
-                )
         upto = Window.partitionBy("_parent").orderBy("_p")
         end = F.col("_before") + F.sum("_n").over(upto)
         blocks = (

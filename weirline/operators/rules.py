@@ -21,11 +21,16 @@ def uplift_where(
     return df.withColumn(column, F.when(condition, new).otherwise(old))
 
 
+def is_region(region: Column, name: str, settings: Settings) -> Column:
+    """Whether a region is the named one, in any case where cases are folded."""
+    return F.lower(region) == name.lower() if settings.fold_case else region == name
+
+
 def _rule_column(region: Column, settings: Settings, position: int) -> Column:
     default = F.lit(settings.default_rule[position])
     expr = None
     for name, rule in settings.region_rules.items():
-        hit = region == name
+        hit = is_region(region, name, settings)
         value = rule[position]
         expr = F.when(hit, value) if expr is None else expr.when(hit, value)
     return default if expr is None else expr.otherwise(default)

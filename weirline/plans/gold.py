@@ -14,14 +14,25 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from weirline.functions.dates import date_parts, month_start
 from weirline.functions.numbers import round_ratio
+from weirline.functions.text import fold
 from weirline.operators.rows import distinct_rows
-from weirline.operators.rules import classify, sum_where, uplift_where
+from weirline.operators.rules import classify, is_region, sum_where, uplift_where
 from weirline.settings import Settings
 
 
+def fold_case(df: DataFrame, settings: Settings) -> DataFrame:
+    """A silver table as the star schema sees it. Cleaning tells cases apart, facts, joins
+    and rules do not; the keys are folded once, where gold begins, so every grouping
+    still combines before its shuffle."""
+    folded = {c: fold(F.col(c)) for c in ("region", "product_id") if c in df.columns}
+    texts = {c: e for c, e in folded.items() if isinstance(df.schema[c].dataType, T.StringType)}
+    return df.withColumns(texts) if settings.fold_case and texts else df
+
+
 def dim_date(orders: DataFrame) -> DataFrame:
     """Days that have an order (not a calendar)."""
     days = distinct_rows(orders.select(F.col("order_date").alias("date")))
@@ -147,7 +158,7 @@ def target_uplift(targets: DataFrame, settings: Settings = Settings()) -> DataFr
     return uplift_where(
         targets,
         "target_revenue",
-        F.col("region") == settings.uplift_region,
+        is_region(F.col("region"), settings.uplift_region, settings),
         settings.uplift_factor,
     )
 

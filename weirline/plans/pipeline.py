@@ -8,11 +8,11 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from weirline.operators.audit import quality_report, row_counts
-from weirline.plans import gold, marts, silver
+from weirline.plans import gold, marts, measures, silver
 from weirline.settings import Settings
 from weirline.sources.files import read_raw, write_csv
 from weirline.sources.schemas import RAW_COLUMNS
-from weirline.sources.warehouse import Warehouse, register_views
+from weirline.sources.warehouse import JdbcTarget, Warehouse, register_views, write_jdbc
 
 SILVER_TABLES = {
     "customers": "dim_customer",
@@ -43,10 +43,13 @@ class Built:
     tables: Mapping[str, DataFrame]
     views: Mapping[str, DataFrame]
     checks: Mapping[str, DataFrame]
+    measures: Mapping[str, DataFrame]
 
 
-def read_extracts(spark: SparkSession, raw_dir: str) -> dict[str, DataFrame]:
-    return {e: read_raw(spark, f"{raw_dir}/{e}_raw.csv", e) for e in RAW_COLUMNS}
+def read_extracts(
+    spark: SparkSession, raw_dir: str, multi_line: bool = False
+) -> dict[str, DataFrame]:
+    return {e: read_raw(spark, f"{raw_dir}/{e}_raw.csv", e, multi_line) for e in RAW_COLUMNS}
 
 
 def build_silver(
@@ -76,13 +79,16 @@ def build_gold(
         out[name] = warehouse.write(df, name)
         return out[name]
 
-    orders, products = tables["stg_orders"], tables["dim_product"]
+    orders = gold.fold_case(tables["stg_orders"], settings)
+    products = gold.fold_case(tables["dim_product"], settings)
+    events = gold.fold_case(tables["stg_web_events"], settings)
+    planned = gold.fold_case(tables["stg_targets"], settings)
     write("dim_date", gold.dim_date(orders))
     write("dim_region", gold.dim_region(orders))
     write("fact_revenue", gold.fact_revenue(orders, products))
     write("fact_revenue_enriched", gold.fact_revenue_enriched(orders, products))
-    write("fact_funnel", gold.fact_funnel(tables["stg_web_events"], settings))
-    targets = write("fact_targets", gold.fact_targets(tables["stg_targets"], settings))
+    write("fact_funnel", gold.fact_funnel(events, settings))
+    targets = write("fact_targets", gold.fact_targets(planned, settings))
     sales = write("agg_sales", gold.sales_from_facts(out["fact_revenue"]))
     write("fact_revenue_monthly", gold.fact_revenue_monthly(sales, targets))
     leakage = write("fact_leakage", gold.fact_leakage(sales, targets, settings))
@@ -103,8 +109,35 @@ def build_views(
     }
 
 
-def build_checks(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    sales = gold.sales_by(tables["stg_orders"], tables["dim_product"], ["region"])
+def build_measures(
+    tables: Mapping[str, DataFrame], settings: Settings = Settings()
+) -> dict[str, DataFrame]:
+    """The ten measures under three contexts, and the report pages."""
+    orders = gold.fold_case(tables["stg_orders"], settings)
+    products = gold.fold_case(tables["dim_product"], settings)
+    sales = gold.region_month(gold.revenue_grain(orders, products))
+    targets, funnel = tables["fact_targets"], tables["fact_funnel"]
+    monthly, leakage = tables["fact_revenue_monthly"], tables["fact_leakage"]
+    return {
+        "kpi_measures": measures.kpi_measures(sales, targets, funnel, settings),
+        "kpi_by_region": measures.kpi_by_region(sales, targets, funnel, settings),
+        "kpi_by_region_month": measures.kpi_by_region_month(sales, targets, funnel),
+        "achievement_by_quarter": measures.achievement_by_quarter(monthly),
+        "region_actual_vs_target": measures.region_actual_vs_target(monthly),
+        "leakage_share_by_type": measures.leakage_share_by_type(leakage),
+        "leakage_rate": measures.leakage_rate(leakage),
+        "funnel_totals": measures.funnel_totals(funnel),
+        "recovery_by_scenario": measures.recovery_by_scenario(tables["fact_recovery"], settings),
+        "leakage_fixed_rate": measures.leakage_fixed_rate(leakage, settings),
+    }
+
+
+def build_checks(
+    tables: Mapping[str, DataFrame], settings: Settings = Settings()
+) -> dict[str, DataFrame]:
+    orders = gold.fold_case(tables["stg_orders"], settings)
+    products = gold.fold_case(tables["dim_product"], settings)
+    sales = gold.sales_by(orders, products, ["region"])
     return {
         "row_counts": row_counts({t: tables[t] for t in COUNTED_TABLES}),
         "leakage_sign": marts.validate_leakage_sign(tables["fact_leakage"]),
@@ -120,10 +153,14 @@ def run(
     settings: Settings = Settings(),
     clean_csv_dir: str | None = None,
     replacement_events: DataFrame | None = None,
+    multi_line: bool = False,
+    database: JdbcTarget | None = None,
 ) -> Built:
     """Full refresh. ``replacement_events`` takes the place of the cleaned events
-    before the funnel is built (truncate and reload)."""
-    raw = read_extracts(spark, raw_dir)
+    before the funnel is built (truncate and reload). ``multi_line`` allows line breaks
+    inside quoted fields of the extracts. Every table is copied to ``database``, if given."""
+    raw = read_extracts(spark, raw_dir, multi_line)
+    audit = warehouse.write(silver.etl_audit(raw, settings), "etl_audit")
     tables = build_silver(raw, warehouse, settings, clean_csv_dir)
     cleaned = {entity: tables[name] for entity, name in SILVER_TABLES.items()}
     quality = warehouse.write(quality_report(cleaned), "quality_report")
@@ -131,6 +168,12 @@ def run(
         tables["stg_web_events"] = warehouse.write(replacement_events, "stg_web_events")
     tables = build_gold(tables, warehouse, settings)
     views = build_views(tables, settings)
-    register_views(views)
-    checks = {**build_checks(tables), "quality_report": quality}
-    return Built(tables, views, checks)
+    register_views(views, warehouse)
+    checks = {**build_checks(tables, settings), "quality_report": quality, "etl_audit": audit}
+    results = {
+        name: warehouse.write(df, name) for name, df in build_measures(tables, settings).items()
+    }
+    if database is not None:
+        for name, df in tables.items():
+            write_jdbc(df, database.url, name, database.properties, settings.text_width)
+    return Built(tables, views, checks, results)

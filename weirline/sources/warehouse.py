@@ -54,10 +54,25 @@ class Warehouse:
         return self.spark.read.parquet(f"{self.root}/{name}")
 
 
-def register_views(views: Mapping[str, DataFrame]) -> None:
-    """Create or replace the report views for SQL users of the session."""
+def register_views(views: Mapping[str, DataFrame], warehouse: Warehouse) -> None:
+    """Create or replace the report views.
+
+    They are views of the session; with a ``database`` also permanent ones in it, over
+    tables that each run refreshes along with the facts."""
     for name, df in views.items():
         df.createOrReplaceTempView(name)
+        if warehouse.database is not None:
+            warehouse.write(df, f"{name}_rows")
+            view, rows = (f"{warehouse.database}.{n}" for n in (name, f"{name}_rows"))
+            warehouse.spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT * FROM {rows}")
+
+
+@dataclass(frozen=True)
+class JdbcTarget:
+    """An external database that a run copies its tables to."""
+
+    url: str
+    properties: Mapping[str, str]
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:

@@ -6,6 +6,7 @@ Each function states one extract as lazy expressions over the Parquet files;
 
 from __future__ import annotations
 
+from dataclasses import replace
 from decimal import Decimal
 from functools import cached_property
 
@@ -24,6 +25,15 @@ SETTINGS = Settings(
         "ASIA": ("Operational Gap", "Medium"),
     },
     base_price=MONEY,
+    fold_case=False,
+)
+
+# The same rules over regions in several spellings.
+MIXED_CASE = replace(SETTINGS, fold_case=True)
+
+# Other report labels for the same event types.
+RELABELLED = replace(
+    SETTINGS, event_labels={"visit": "View", "add_to_cart": "Cart", "purchase": "Sale"}
 )
 
 # Text forms of a count, by event_id % 20; every other event has "1.0".
@@ -52,16 +62,21 @@ SCHEMAS = {
 class Tables:
     """The Parquet tables of one folder; each is listed and opened once."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self._spark, self._sf_dir = spark, sf_dir
+    def __init__(self, spark: SparkSession, sf_dir: str, mixed_case: bool = False):
+        self.spark, self.sf_dir, self._mixed_case = spark, sf_dir, mixed_case
         self._open: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._open:
-            reader = self._spark.read.schema(SCHEMAS[name])
-            self._open[name] = reader.parquet(f"{self._sf_dir}/{name}.parquet")
+            reader = self.spark.read.schema(SCHEMAS[name])
+            self._open[name] = reader.parquet(f"{self.sf_dir}/{name}.parquet")
         return self._open[name]
 
+    def region(self, key: Column) -> Column:
+        """The region, spelled by ``key`` where spellings are mixed."""
+        region = F.col("region")
+        return _spelling(region, key).alias("region") if self._mixed_case else region
+
     @cached_property
     def customer_region(self) -> DataFrame:
         return (
@@ -115,7 +130,10 @@ def order_lines_raw(tables: Tables) -> DataFrame:
 
 def with_headers(tables: Tables, lines: DataFrame) -> DataFrame:
     heads = tables.order_region.select(
-        "o_orderkey", "order_date", F.col("o_custkey").alias("customer_id"), "region"
+        "o_orderkey",
+        "order_date",
+        F.col("o_custkey").alias("customer_id"),
+        tables.region(F.col("o_custkey")),
     )
     return lines.join(heads, F.col("order_id") == F.col("o_orderkey")).drop("o_orderkey")
 
@@ -171,6 +189,20 @@ def customers_raw(tables: Tables) -> DataFrame:
     )
 
 
+def awkward_text() -> Column:
+    """Customer names dressed in what CSV has to keep, by key % 8; every eighth is missing."""
+    name, kind = F.col("c_name"), F.col("c_custkey") % 8
+    return (
+        F.when(kind == 0, F.concat(F.lit('5" disc, big '), name))
+        .when(kind == 1, F.concat(F.lit("  "), name, F.lit("  ")))
+        .when(kind == 2, F.concat(name, F.lit("\ntwo\r\nlines")))
+        .when(kind == 3, F.concat(F.lit("back\\slash\\"), name, F.lit("\\")))
+        .when(kind == 4, F.lit(""))
+        .when(kind == 5, F.concat(F.lit('"'), name, F.lit('"')))
+        .when(kind == 6, name)
+    )
+
+
 def event_label() -> Column:
     """The shop's three stages under the stream's own names; others stay unknown."""
     kind = F.col("event_type")
@@ -196,7 +228,7 @@ def web_events_raw(tables: Tables) -> DataFrame:
         .join(users, F.col("user_id") == F.col("c_custkey"))
         .select(
             F.to_date("ts").alias("event_date"),
-            "region",
+            tables.region(F.col("user_id")),
             event_label().alias("event_type"),
             n.alias("count"),
         )
@@ -219,7 +251,7 @@ def targets_raw(tables: Tables) -> DataFrame:
         F.date_format(day, "yyyy-MM-dd")
     )
     return _copies(sums, F.month(day) == 1).select(
-        text.alias("month"), "region", "target_revenue"
+        text.alias("month"), tables.region(F.month(day)), "target_revenue"
     )
 
 

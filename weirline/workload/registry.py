@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from weirline.functions import dates, numbers, text
 from weirline.operators import audit, median, rows, rules
 from weirline.plans import gold, marts, measures, silver
+from weirline.settings import Settings
+from weirline.sources import files
 from weirline.sources.schemas import LINE, POSITION
 from weirline.workload import bindings as b
 
@@ -20,8 +22,17 @@ Query = Callable[[SparkSession, str], DataFrame]
 class Frames:
     """Lazy frames over one data folder; each property only declares a plan."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.tables, self.settings = b.Tables(spark, sf_dir), b.SETTINGS
+    def __init__(
+        self, spark: SparkSession, sf_dir: str, settings: Settings = b.SETTINGS,
+        mixed_case: bool = False,
+    ):
+        self.tables, self.settings = b.Tables(spark, sf_dir, mixed_case), settings
+
+    def with_settings(self, settings: Settings, mixed_case: bool = False) -> Frames:
+        return Frames(self.tables.spark, self.tables.sf_dir, settings, mixed_case)
+
+    def folded(self, name: str) -> DataFrame:
+        return gold.fold_case(self.clean(name), self.settings)
 
     def table(self, name: str) -> DataFrame:
         return self.tables[name]
@@ -34,7 +45,7 @@ class Frames:
 
     @cached_property
     def orders(self) -> DataFrame:
-        return b.clean_orders(self.tables)
+        return gold.fold_case(b.clean_orders(self.tables), self.settings)
 
     @cached_property
     def products(self) -> DataFrame:
@@ -42,11 +53,11 @@ class Frames:
 
     @cached_property
     def targets(self) -> DataFrame:
-        return gold.fact_targets(self.clean("targets"), self.settings)
+        return gold.fact_targets(self.folded("targets"), self.settings)
 
     @cached_property
     def funnel(self) -> DataFrame:
-        return gold.fact_funnel(self.clean("web_events"))
+        return gold.fact_funnel(self.folded("web_events"), self.settings)
 
     @cached_property
     def sales(self) -> DataFrame:
@@ -151,6 +162,27 @@ def _cohort_month(f: Frames) -> DataFrame:
     return f.table("orders").select("o_orderkey", dates.cohort_month(day).alias("cohort_month"))
 
 
+def _nan_to_missing(f: Frames) -> DataFrame:
+    """Every tenth value is a real NaN before it is cleaned and totalled."""
+    value = F.when(F.col("event_id") % 10 == 0, F.lit(float("nan"))).otherwise(F.col("value"))
+    dirty = f.table("events").select("event_id", value.alias("value"))
+    return dirty.select("event_id", numbers.nan_to_null(dirty, "value").alias("value"))
+
+
+def _median_order_value(f: Frames) -> DataFrame:
+    price = F.col("l_extendedprice").cast("decimal(18,2)").alias("price")
+    return median.exact_median(f.table("lineitem").select(price), "price")
+
+
+def _csv_text_round_trip(f: Frames) -> DataFrame:
+    """Texts with quotes, edge spaces, line breaks and more, to CSV records and back."""
+    schema = "c_custkey bigint, text string"
+    customers = f.table("customer").select("c_custkey", b.awkward_text().alias("text"))
+    line = files.csv_line(["c_custkey", "text"])
+    back = customers.select(files.parse_csv_line(line, schema).alias("row")).select("row.*")
+    return back.withColumn("text", files.real_text(F.col("text")))
+
+
 def _count_to_int(f: Frames) -> DataFrame:
     written = f.table("events").select("event_id", F.col("value").cast("string").alias("count"))
     return written.withColumn("count", numbers.to_count(written, "count"))
@@ -208,6 +240,9 @@ PLANS: dict[str, Callable[[Frames], DataFrame]] = {
     "parse_mixed_dates": _parse_mixed_dates,
     "cohort_month": _cohort_month,
     "count_to_int": _count_to_int,
+    "nan_to_missing": _nan_to_missing,
+    "median_order_value": _median_order_value,
+    "csv_text_round_trip": _csv_text_round_trip,
     "leakage_classify": _leakage_classify,
     "collation_group": _collation_group,
     "target_uplift": lambda f: gold.target_uplift(f.clean("targets"), f.settings),
@@ -223,6 +258,9 @@ PLANS: dict[str, Callable[[Frames], DataFrame]] = {
     "fact_revenue": lambda f: gold.fact_revenue(f.orders, f.products),
     "fact_revenue_enriched": lambda f: gold.fact_revenue_enriched(f.orders, f.products),
     "fact_funnel": lambda f: f.funnel,
+    "fact_funnel_relabelled": lambda f: f.with_settings(b.RELABELLED).funnel,
+    "fact_funnel_mixed_case": lambda f: f.with_settings(b.MIXED_CASE, mixed_case=True).funnel,
+    "fact_leakage_mixed_case": lambda f: f.with_settings(b.MIXED_CASE, mixed_case=True).leakage,
     "fact_targets": lambda f: f.targets,
     "fact_revenue_monthly": lambda f: f.monthly,
     "fact_leakage": lambda f: f.leakage,
