@@ -229,7 +229,9 @@ def near_duplicates(
     )
     named = labelled.groupBy("component").agg(F.min("least").alias("component_id"))
     known = labelled.join(named, "component").select("dim", "vec", "n_links", "component_id")
-    linked = rows.join(known, ["dim", "vec"]).select("id", "n_links", "component_id")
+    known = known.toDF("known dim", "known vec", "n_links", "component_id")
+    same = (F.col("dim") == F.col("known dim")) & (F.col("vec") == F.col("known vec"))
+    linked = rows.join(known, same).select("id", "n_links", "component_id")
     alone = df.where(~usable(vector_col)).select(
         F.col(id_col).cast("long").alias("id"), F.lit(0).cast("long").alias("n_links"),
         F.col(id_col).cast("long").alias("component_id"),
