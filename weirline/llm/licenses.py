@@ -94,6 +94,22 @@ def _signature(hashes: Column, n: int) -> Column:
     return F.array(*(least(seed) for seed in range(n)))
 
 
+def _likely(starts: Column, size: int, every: list[int]) -> Column:
+    """Starts of windows that hold a shingle of some template."""
+    return F.filter(
+        starts, lambda i: F.exists(F.slice("hashes", i, F.lit(2 * size)), lambda h: h.isin(every))
+    )
+
+
+def _window(size: int, k: int):
+    return lambda i: F.struct(
+        F.lit(size).alias("size"),
+        i.alias("start"),
+        F.slice("hashes", i, F.lit(2 * size)).alias("window"),
+        F.slice("words", i, F.lit(2 * size + k - 1)).alias("inside"),
+    )
+
+
 def _template_rows(spark, settings: Settings) -> DataFrame:
     rows = spark.createDataFrame(sorted(settings.templates.items()), "license string, notice string")
     rows = rows.withColumn("words", words(F.col("notice")))
@@ -127,47 +143,39 @@ def scan(
     hashed = read.withColumn("hashes", _shingles("words", k, lambda s: F.xxhash64(s)))
     hits = hashed.where(F.exists("hashes", lambda h: h.isin(every)))
 
-    found = []
+    # Windows of all sizes are cut out inside the row; only those that may match leave it.
+    cuts, signature, rows = [], None, []
     for size in sorted(set(sizes.values())):
-        n = bands(size, settings.containment, settings.miss)
-        ours = [row for row in known if sizes[row["license"]] == size]
-        rows = spark.createDataFrame(
-            [(r["license"], r["wanted"], r["hashes"]) for r in ours],
-            "license string, wanted array<string>, `template hashes` array<long>",
-        )
-        templates = rows.select(
-            "license", "wanted", F.posexplode(_signature(F.col("template hashes"), n))
-        ).withColumnsRenamed({"pos": "band", "col": "value"})
-        # Windows are cut out inside the row; only those that may match leave it.
         starts = F.sequence(F.lit(1), F.size("hashes"), F.lit(size))
-        likely = F.filter(
-            starts, lambda i: F.exists(F.slice("hashes", i, F.lit(2 * size)), lambda h: h.isin(every))
-        )
-        windows = F.transform(
-            likely,
-            lambda i: F.struct(
-                i.alias("start"),
-                F.slice("hashes", i, F.lit(2 * size)).alias("window"),
-                F.slice("words", i, F.lit(2 * size + k - 1)).alias("inside"),
-            ),
-        )
-        cut_out = hits.select("row", "doc_id", F.explode(windows).alias("w"))
-        signed = cut_out.select(
-            "row", "doc_id", "w.start", "w.inside",
-            F.posexplode(_signature(F.col("w.window"), n)).alias("band", "value"),
-        )
-        met = signed.join(F.broadcast(templates), ["band", "value"])  # the fixed list
-        pairs = met.groupBy("row", "doc_id", "start", "license").agg(
-            F.first("inside").alias("inside"), F.first("wanted").alias("wanted")
-        )
-        shingles = _shingles("inside", k, lambda s: F.concat_ws(" ", s))
-        share = F.size(F.array_intersect("wanted", shingles)) / F.size("wanted")
-        found.append(pairs.select("row", "doc_id", "license", share.alias("share")))
-    every_size = found[0]
-    for more in found[1:]:
-        every_size = every_size.union(more)
+        cuts.append(F.transform(_likely(starts, size, every), _window(size, k)))
+        here = _signature(F.col("w.window"), bands(size, settings.containment, settings.miss))
+        of_size = F.col("w.size") == size
+        signature = F.when(of_size, here) if signature is None else signature.when(of_size, here)
+    for row in known:
+        size = sizes[row["license"]]
+        rows.append((size, row["license"], row["wanted"], row["hashes"]))
+    templates = spark.createDataFrame(
+        rows, "size int, license string, wanted array<string>, window array<long>"
+    )
+    templates = templates.select("license", "wanted", F.struct("size", "window").alias("w"))
+    templates = templates.select(
+        "license", "wanted", F.col("w.size").alias("size"),
+        F.posexplode(signature).alias("band", "value"),
+    )
+    cut_out = hits.select("row", "doc_id", F.explode(F.concat(*cuts)).alias("w"))
+    signed = cut_out.select(
+        "row", "doc_id", "w.size", "w.start", "w.inside",
+        F.posexplode(signature).alias("band", "value"),
+    )
+    met = signed.join(F.broadcast(templates), ["size", "band", "value"])  # the fixed list
+    pairs = met.groupBy("row", "doc_id", "size", "start", "license").agg(
+        F.first("inside").alias("inside"), F.first("wanted").alias("wanted")
+    )
+    shingles = _shingles("inside", k, lambda s: F.concat_ws(" ", s))
+    share = F.size(F.array_intersect("wanted", shingles)) / F.size("wanted")
     return (
-        every_size.where(F.col("share") >= settings.containment)
+        pairs.select("row", "doc_id", "license", share.alias("share"))
+        .where(F.col("share") >= settings.containment)
         .groupBy("row", "doc_id", "license")
         .agg(F.count(F.lit(1)).alias("n_windows"), F.max("share").alias("containment"))
         .drop("row")
