@@ -23,7 +23,7 @@ RUN = (
     r"^([\t-\r\x1c- \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}"
     r"\x{205f}\x{3000}]|$)"
 )
-BATCH_BYTES = 1 << 23  # of text that is split at a time
+BATCH_BYTES = 1 << 24  # of text that is split at a time
 WORD_BYTES = 4  # ids are unsigned, little-endian, 32 bits
 
 
@@ -35,15 +35,19 @@ def _parts(word: str) -> list[tuple[str, str]]:
     """Keys of the lines of a word, each with the mark that ends it. A single line break
     between non-spaces is a piece of its own, and the pattern parts a mark from the
     letters before it; other white space keeps a word whole."""
+    if "\n" not in word:
+        return [_marked(word)]
     lines = word.split("\n")
-    if len(lines) > 1 and any(not x or x[0].isspace() or x[-1].isspace() for x in lines):
-        lines = [word]
-    out = []
-    for i, line in enumerate(lines):
-        mark = line[-1] if line[-1] in MARKS and line[-2:-1].isalpha() else ""
-        key = line[:-1] if mark else line
-        out.append((f"\n{key}" if i else key, mark))
-    return out
+    if any(not x or x[0].isspace() or x[-1].isspace() for x in lines):
+        return [_marked(word)]
+    first, *rest = map(_marked, lines)
+    return [first, *((f"\n{key}", mark) for key, mark in rest)]
+
+
+def _marked(line: str) -> tuple[str, str]:
+    if line[-1] in MARKS and line[-2:-1].isalpha():
+        return line[:-1], line[-1]
+    return line, ""
 
 
 class ChunkEncoder:
@@ -55,7 +59,7 @@ class ChunkEncoder:
         self,
         encode_keys: Callable[[list[str]], list[bytes]],
         encode_text: Callable[[str], bytes],
-        max_cached: int = 400_000,
+        max_cached: int = 1_500_000,
     ):
         self.encode_keys, self.encode_text, self.max_cached = encode_keys, encode_text, max_cached
         self.words, self.ids = pa.array([], pa.string()), pa.array([], pa.binary())
@@ -116,7 +120,7 @@ class ChunkEncoder:
         absent = pc.is_null(at)
         run = pc.match_substring_regex(words, RUN)  # a key of the table may look like one
         absent = pc.and_not(absent, run)
-        parted = pc.and_(absent, pc.match_substring_regex(words, r"[\n.,]"))
+        parted = pc.and_(absent, pc.match_substring_regex(words, r"\n|[.,]$"))
         plain = pc.and_not(absent, parted)
         simple, joined = words.filter(plain), words.filter(parted)
         simple_ids = self.encode_keys(simple.to_pylist())
@@ -160,8 +164,13 @@ class ChunkEncoder:
         new = [key for key, known in ids.items() if known is None]
         new_ids = self.encode_keys(new)
         ids.update(zip(new, new_ids, strict=True))
-        text = self._text
-        joined = [b"".join([ids[key] + text(mark) for key, mark in own]) for own in parts]
+        marks = {mark: self._text(mark) for mark in ("", *MARKS)}
+        joined = [
+            ids[own[0][0]] + marks[own[0][1]]
+            if len(own) == 1
+            else b"".join([ids[key] + marks[mark] for key, mark in own])
+            for own in parts
+        ]
         own_keys = set(words)  # a word that is its own key is kept once
         kept = [(k, i) for k, i in zip(new, new_ids, strict=True) if k not in own_keys]
         return joined, [k for k, _ in kept], [i for _, i in kept]
