@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 _RATIO = "decimal(38,10)"
 _EXACT = "decimal(28,10)"
+_LARGEST = 9e18  # whole parts are 64-bit numbers
 
 
 def nan_to_null(df: DataFrame, name: str) -> Column:
@@ -40,15 +41,20 @@ def round_half_up(col: Column, places: int) -> Column:
 def round_ratio(numerator: Column, denominator: Column, places: int, scale: int = 1) -> Column:
     """``scale`` times the quotient, rounded half up once; NULL on a zero denominator.
 
-    The digits kept are a whole number, found by dividing exact decimals: nothing
-    is rounded on the way, however large the sums (below 10^18 with 10 decimals).
+    Whole part and remainder are found by dividing exact decimals, and the digits kept
+    from the remainder: nothing is rounded on the way, however large the sums (below
+    10^18 with 10 decimals). A quotient too large for a whole number fails the run.
     """
-    a, b = numerator.cast(_EXACT), denominator.cast(_EXACT)
-    twice = F.abs(a) * F.lit(2 * scale * 10**places) + F.abs(b)
-    digits = F.call_function("div", twice, F.abs(b) * F.lit(2))
-    signed = F.when((a < 0) != (b < 0), -digits).otherwise(digits)
-    exact = signed.cast("decimal(20,0)") * F.lit(Decimal(1).scaleb(-places))
-    return F.when(b != 0, exact)
+    a = F.abs(numerator.cast(_EXACT)) * F.lit(scale)
+    b = F.abs(denominator.cast(_EXACT))
+    whole = F.call_function("div", a, b).cast("decimal(19,0)")
+    digits = F.call_function("div", (a % b) * F.lit(2 * 10**places) + b, b * F.lit(2))
+    exact = whole + digits.cast(f"decimal({places + 2},0)") * F.lit(Decimal(1).scaleb(-places))
+    negative = (numerator < 0) != (denominator < 0)
+    too_large = a.cast("double") >= b.cast("double") * F.lit(_LARGEST)
+    failure = F.raise_error(F.lit("ratio out of range")).cast(f"decimal({places + 21},{places})")
+    signed = F.when(too_large, failure).when(negative, -exact).otherwise(exact)
+    return F.when(b != 0, signed)
 
 
 def percent(numerator: Column, denominator: Column, places: int = 2) -> Column:
