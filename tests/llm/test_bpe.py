@@ -108,3 +108,13 @@ def test_whole_table(spark, library):
         assert row.n_tokens == len(ids)
         assert row.ids_sha256 == hashlib.sha256(ids.tobytes()).hexdigest()
         assert row.decoded_sha256 == hashlib.sha256(doc.text.encode()).hexdigest()
+
+
+def test_decoding_in_groups_and_chunks(ranks, library):
+    texts = ["", "é中😀 " * 50, "one", "", "word " * 400, "\udcff".encode("utf-8", "replace").decode()]
+    packed = [np.array(library.encode_ordinary(t), "<u4").tobytes() for t in texts]
+    for chunk in (1, 7, 100, 1 << 19):
+        assert list(bpe.Decoder(ranks, chunk).each(packed)) == texts
+    assert list(bpe.Decoder(ranks).each([])) == []
+    with pytest.raises(IndexError):
+        bpe.Decoder(ranks)(np.array([1 << 20], "<u4").tobytes())

@@ -22,6 +22,9 @@ columns pass through. Unknown ids fail the decoding.
 from __future__ import annotations
 
 import base64
+import contextlib
+import gc
+import itertools
 import sys
 from array import array
 from collections.abc import Iterable, Iterator
@@ -39,6 +42,7 @@ from weirline.llm.tokens import ChunkEncoder, spelled
 NODE_BITS = 32  # a hypothesis is last + 1 above, its trie node below; 0 is the start
 TOKEN_BITS = 24  # a move is the next state above, the last token below
 NODE, TOKEN = (1 << NODE_BITS) - 1, (1 << TOKEN_BITS) - 1
+ROWS_OUT = 1000  # that leave a task at a time, as ids and text are larger than what came in
 LOOKAHEAD = 4096  # bytes of a piece that are read before its tokens are emitted
 
 
@@ -266,12 +270,26 @@ def encode(text: Column, ranks_path: str, pattern: str) -> Column:
     @F.pandas_udf("binary")
     def encoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         encoder = text_encoder(read_ranks(ranks_path), pattern)
-        for texts in batches:
-            yield pd.Series(list(encoder.each(pa.array(texts, pa.string()))), dtype=object)
+        with uncollected():
+            for texts in batches:
+                yield pd.Series(list(encoder.each(pa.array(texts, pa.string()))), dtype=object)
 
     return encoded(text)
 
 
+@contextlib.contextmanager
+def uncollected() -> Iterator[None]:
+    """The machine's tables are very many small objects without cycles, which the cycle
+    collector would walk again and again as they grow."""
+    was = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if was:
+            gc.enable()
+
+
 def _utf8_classes() -> tuple[np.ndarray, dict[tuple[int, int], int]]:
     """Byte classes and moves of the machine over well-formed UTF-8.
 
@@ -346,22 +364,52 @@ class Utf8Stream:
 
 
 class Decoder:
-    """Ids to text, a chunk at a time."""
+    """Ids to text, in chunks of bounded size; ids beyond the vocabulary fail."""
 
-    def __init__(self, ranks: dict[bytes, int], ids_per_chunk: int = 1 << 16):
+    def __init__(self, ranks: dict[bytes, int], ids_per_chunk: int = 1 << 19):
         self.chunk = ids_per_chunk
-        self.bytes_of = [b""] * (max(ranks.values(), default=-1) + 1)
+        bytes_of = [b""] * (max(ranks.values(), default=-1) + 1)
         for token, rank in ranks.items():
-            self.bytes_of[rank] = token
+            bytes_of[rank] = token
+        self.table = pa.array(bytes_of, pa.binary())
+
+    def _bytes(self, ids: np.ndarray) -> tuple[memoryview, np.ndarray]:
+        """The tokens' bytes on end, and where each token starts and the last ends."""
+        gathered = self.table.take(pa.array(ids))
+        _, offsets, data = gathered.buffers()
+        places = np.frombuffer(offsets, np.int32)[: len(ids) + 1]
+        return memoryview(data) if data is not None else memoryview(b""), places
 
     def pieces(self, ids: np.ndarray) -> Iterable[str]:
-        stream, token = Utf8Stream(), self.bytes_of.__getitem__
+        """Text of one stream of ids, a chunk at a time."""
+        stream = Utf8Stream()
         for at in range(0, len(ids), self.chunk):
-            yield stream.feed(b"".join(map(token, ids[at : at + self.chunk].tolist())))
+            yield stream.feed(bytes(self._bytes(ids[at : at + self.chunk])[0]))
         yield stream.finish()
 
+    def each(self, packed: list[bytes]) -> Iterator[str]:
+        """Text of each document's packed ids; short ones are gathered together."""
+        held, size = [], 0
+        for ids in packed:
+            if held and size + len(ids) > self.chunk * 4:
+                yield from self._group(held)
+                held, size = [], 0
+            held.append(ids)
+            size += len(ids)
+        yield from self._group(held)
+
+    def _group(self, packed: list[bytes]) -> Iterator[str]:
+        if len(packed) == 1:
+            yield "".join(self.pieces(np.frombuffer(packed[0], "<u4")))
+            return
+        data, places = self._bytes(np.frombuffer(b"".join(packed), "<u4"))
+        ends = np.concatenate([[0], np.cumsum([len(p) // 4 for p in packed])])
+        for a, b in itertools.pairwise(places[ends.astype(int)].tolist() if packed else []):
+            stream = Utf8Stream()
+            yield stream.feed(bytes(data[a:b])) + stream.finish()
+
     def __call__(self, packed: bytes) -> str:
-        return "".join(self.pieces(np.frombuffer(packed, "<u4")))
+        return next(self.each([packed]))
 
 
 def decode(ids: Column, ranks_path: str) -> Column:
@@ -371,7 +419,7 @@ def decode(ids: Column, ranks_path: str) -> Column:
     def decoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         decoder = Decoder(read_ranks(ranks_path))
         for some in batches:
-            yield pd.Series([decoder(p) if p else "" for p in some], dtype=object)
+            yield pd.Series(list(decoder.each([p or b"" for p in some])), dtype=object)
 
     return decoded(ids)
 
@@ -384,8 +432,11 @@ def round_trip(text: Column, ranks_path: str, pattern: str) -> Column:
     def coded(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         ranks = read_ranks(ranks_path)
         encoder, decoder = text_encoder(ranks, pattern), Decoder(ranks)
-        for texts in batches:
-            ids = list(encoder.each(pa.array(texts, pa.string())))
-            yield pd.DataFrame({"ids": ids, "decoded": [decoder(i) for i in ids]})
+        with uncollected():
+            for texts in batches:
+                for at in range(0, len(texts), ROWS_OUT):
+                    some = pa.array(texts.iloc[at : at + ROWS_OUT], pa.string())
+                    ids = list(encoder.each(some))
+                    yield pd.DataFrame({"ids": ids, "decoded": list(decoder.each(ids))})
 
     return coded(text)
