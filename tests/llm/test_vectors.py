@@ -128,6 +128,22 @@ def test_tree_assigns_and_visits_every_leaf():
     assert tree.visits(rows[5], 3) == tree.visits(rows[5])[:3]
 
 
+def test_sparse_regions_get_all_their_neighbours(spark):
+    rng = np.random.default_rng(6)
+    dense = np.repeat(np.eye(60)[:30], 100, axis=0)  # one leaf each, and most queries
+    sparse = np.hstack([np.zeros((48, 30)), rng.normal(size=(48, 30)) * 0.3])  # leaves of a few rows
+    rows = np.vstack([dense, sparse])
+    settings = ann.Settings(leaf_rows=20)
+    df = frame(spark, [(i, v.tolist(), 0) for i, v in enumerate(rows)])
+    found = ann.search(df, F.col("id") % 3 == 0, settings).toPandas()
+    counts = found.groupby("query_id").size()
+    assert sorted(counts.index) == list(range(0, len(rows), 3))
+    assert set(counts) == {20}
+    assert not (found["query_id"] == found["vec_id"]).any()
+    few = ann.search(df.where("vec_id % 150 = 0"), F.col("id") % 3 == 0, settings).toPandas()
+    assert set(few.groupby("query_id").size()) == {len(range(0, len(rows), 150)) - 1}
+
+
 def test_recall_on_a_whole_table(spark):
     sf = str(DATA).replace("0.001", "0.1")
     found = queries.op6_nearest_neighbours(spark, sf).toPandas()

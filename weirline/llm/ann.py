@@ -5,7 +5,8 @@ nearest centre leads to. A query walks the tree best bin first: from the root, a
 queue always opens the branch whose centre has the largest inner product with the query,
 plus the query's length times the branch's spread. That gives an order of leaves. How many of
 them are visited is widened until a calibration sample of queries, compared with all rows,
-reaches the wanted recall; if it takes all leaves, the search is exact.
+reaches the wanted recall; if it takes all leaves, the search is exact. A query whose leaves
+hold fewer rows than it wants neighbours opens further ones until they hold enough.
 
 Leaves meet their queries in blocks of bounded size, so a leaf that holds a third of the
 rows is many tasks. Candidates are scored exactly, in doubles, on the original vectors.
@@ -77,15 +78,20 @@ class Tree:
                 waiting += kids.tolist()
         return np.array([self.leaf_of[n] for n in at.tolist()], np.int64)
 
-    def visits(self, query: np.ndarray, most: int | None = None) -> list[int]:
-        """Leaves in the order in which a best-bin-first walk opens them."""
+    def visits(
+        self, query: np.ndarray, most: int | None = None, held: np.ndarray | None = None,
+        least: int = 0,
+    ) -> list[int]:
+        """Leaves in the order in which a best-bin-first walk opens them: ``most``, and more
+        until those opened hold ``least`` rows, of which leaf i has ``held[i]``."""
         query = _tame(query)
-        length, found = float(np.linalg.norm(query)), []
+        length, found, rows = float(np.linalg.norm(query)), [], 0
         queue = [(0.0, 0)]
-        while queue and (most is None or len(found) < most):
+        while queue and (most is None or len(found) < most or rows < least):
             _, node = heapq.heappop(queue)
             if not self.children[node]:
                 found.append(self.leaf_of[node])
+                rows += 0 if held is None else int(held[found[-1]])
             for kid in self.children[node]:
                 promise = float(self.centres[kid] @ query) + length * self.spreads[kid]
                 heapq.heappush(queue, (-promise, kid))
@@ -216,10 +222,16 @@ def search(
     queries = rows.where(is_query)
     visited = _calibrate(placed, first(queries, settings.max_calibration), tree, dtype, dim, settings)
 
+    # One row per leaf, so bounded by the sample. A query may meet itself, so k + 1 are enough.
+    held = np.zeros(len(tree.leaves), np.int64)
+    for row in placed.groupBy("leaf").count().collect():
+        held[row["leaf"]] = row["count"]
+
     @F.pandas_udf("array<int>")
     def opened(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for vecs in batches:
-            yield pd.Series([tree.visits(q, visited) for q in matrix(vecs, dtype, dim)])
+            queries = matrix(vecs, dtype, dim)
+            yield pd.Series([tree.visits(q, visited, held, k + 1) for q in queries])
 
     asked = queries.select("id", "vec", F.explode(opened("vec")).alias("leaf"))
     asked = cut(asked.withColumnsRenamed({"id": "query_id", "vec": "query"}))
