@@ -144,6 +144,32 @@ def test_sparse_regions_get_all_their_neighbours(spark):
     assert set(few.groupby("query_id").size()) == {len(range(0, len(rows), 150)) - 1}
 
 
+@pytest.mark.parametrize("sample", [20_000, 60])
+def test_search_of_mixed_lengths_and_repeated_ids(spark, sample):
+    rng = np.random.default_rng(9)
+    rows = [(i, rng.normal(size=4 if i % 5 else 3).tolist(), 0) for i in range(300)]
+    rows += [(1000, [0.5, 0.5], 0), (1002, [1.0, 0.0], 0)]  # a length of two rows
+    rows += [(i, rng.normal(size=4).tolist(), 0) for i in (4, 4, 8, 299)]  # repeated ids
+    rows += rows[:3]  # repeated rows
+    settings = ann.Settings(
+        neighbours=7, leaf_rows=20, recall=1.0, max_sample=sample, max_calibration=1000
+    )
+    found = ann.search(frame(spark, rows), F.col("id") % 2 == 0, settings).collect()
+    got = sorted((r.query_id, r["rank"], r.vec_id, round(r.score, 9)) for r in found)
+    want, once = [], {(i, tuple(v)) for i, v, _ in rows}
+    for query, vector in once:
+        if query % 2 == 0:
+            near = [(-np.dot(v, vector), i) for i, v in once if len(v) == len(vector) and i != query]
+            best = enumerate(sorted(near)[:7], 1)
+            want += [(query, rank, i, round(-score, 9)) for rank, (score, i) in best]
+    assert {1000, 0, 4} <= {q for q, *_ in got}
+    if sample == 20_000:  # all leaves
+        assert got == sorted(want)
+    else:  # 60 sampled rows, so fewer calibration queries
+        assert [g[:2] for g in got] == [w[:2] for w in sorted(want)]
+        assert len(set(got) & set(want)) >= 0.8 * len(want)
+
+
 def test_recall_on_a_whole_table(spark):
     sf = str(DATA).replace("0.001", "0.1")
     found = queries.op6_nearest_neighbours(spark, sf).toPandas()

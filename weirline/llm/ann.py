@@ -1,6 +1,6 @@
 """Approximate nearest neighbours by inner product in a hierarchical k-means tree.
 
-The tree is fitted on a bounded sample; every row goes to the leaf that a walk to the
+The tree is fitted on a bounded sample (lengths too rare in it have one leaf); every row goes to the leaf that a walk to the
 nearest centre leads to. A query walks the tree best bin first: from the root, a priority
 queue always opens the branch whose centre has the largest inner product with the query,
 plus the query's length times the branch's spread. That gives an order of leaves. How many of
@@ -12,10 +12,12 @@ Leaves meet their queries in blocks of bounded size, so a leaf that holds a thir
 rows is many tasks. Candidates are scored exactly, in doubles, on the original vectors.
 
 Defined results: vectors that are null, empty or zero, or hold null or non-finite
-components, take no part, nor do rows without id or vectors whose length is not the
-most common one (the longer at a tie); scores beyond a double are infinite; of rows with the same id one counts, the one
-with the smallest packed vector; ties go to the smaller id; a query has fewer
-neighbours if there are fewer candidates; an empty table gives no rows.
+components, take no part, nor do rows without id; vectors are compared with those of their
+own length only, each length in a tree of its own; scores beyond a double are infinite; rows
+that repeat id and vector count once; of rows that share an id each vector is a candidate
+and, if asked, a query with ranks of its own, but no neighbour of the others; ties go to the
+smaller id; a query has fewer neighbours if there are fewer candidates; an empty table
+gives no rows.
 """
 
 from __future__ import annotations
@@ -40,7 +42,7 @@ class Settings:
     branch: int = 8
     leaf_rows: int = 96  # sampled rows that a leaf holds at most
     max_sample: int = 20_000  # bound of the rows that the tree is fitted on
-    max_calibration: int = 200  # bound of the queries that are compared with all rows
+    max_calibration: int = 200  # bound of the queries of a length compared with all rows
     recall: float = 0.96
     rounds: int = 8
     block_rows: int = 8192
@@ -98,6 +100,9 @@ class Tree:
         return found
 
 
+SINGLE = Tree([[]], [], [], [0])  # of a length that no sampled row has
+
+
 def _tame(rows: np.ndarray) -> np.ndarray:
     """For the walk only: components so large that their squares overflow are cut."""
     return np.clip(rows, -1e100, 1e100)
@@ -151,8 +156,9 @@ def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
 
 
 def _search(queries: np.ndarray, query_ids, rows: np.ndarray, ids, k: int) -> Iterator[tuple]:
-    """Per query the k best rows but its own. The products pick a few more than k, which
-    are scored again one by one, so that equal vectors have equal scores."""
+    """Per query its place, and the places and scores of the k best rows but those of its id.
+    The products pick a few more than k, which are scored again one by one, so that equal
+    vectors have equal scores."""
     with np.errstate(over="ignore", invalid="ignore"):
         products = np.nan_to_num(queries @ rows.T, nan=-np.inf, posinf=np.inf, neginf=-np.inf)
         largest = max(np.linalg.norm(rows, axis=1).max(), 1e-300)
@@ -168,30 +174,46 @@ def _search(queries: np.ndarray, query_ids, rows: np.ndarray, ids, k: int) -> It
         with np.errstate(over="ignore", invalid="ignore"):
             scores = (rows[near] * queries[i]).sum(1)
         best = _best(scores, ids[near], k)
-        yield query, ids[near[best]], scores[best]
-
-
-def _hits(found: Iterator[tuple]) -> pd.DataFrame:
-    parts = list(found)
-    if not parts:
-        return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
+        yield i, near[best], scores[best]
+
+
+def _hits(asked: pd.DataFrame, rows: pd.DataFrame, dtype, dim: int, k: int) -> pd.DataFrame:
+    """Best of ``rows`` (``id, leaf, vec``) per query of ``asked`` (``query, query_id, vec``)."""
+    found = []
+    if len(rows) and len(asked):
+        found = list(_search(
+            matrix(asked["vec"], dtype, dim), asked["query_id"].to_numpy(),
+            matrix(rows["vec"], dtype, dim), rows["id"].to_numpy(), k,
+        ))
+    if not found:
+        return pd.DataFrame({c: [] for c in ("query", "query_id", "vec_id", "score", "leaf")})
+    who = np.concatenate([np.full(len(at), i) for i, at, _ in found])
+    at = np.concatenate([at for _, at, _ in found])
     return pd.DataFrame(
         {
-            "query_id": np.concatenate([np.full(len(i), q) for q, i, _ in parts]),
-            "vec_id": np.concatenate([i for _, i, _ in parts]),
-            "score": np.concatenate([s for _, _, s in parts]),
+            "query": asked["query"].to_numpy()[who],
+            "query_id": asked["query_id"].to_numpy()[who],
+            "vec_id": rows["id"].to_numpy()[at],
+            "score": np.concatenate([scores for _, _, scores in found]),
+            "leaf": rows["leaf"].to_numpy()[at],
         }
     )
 
 
-HITS = "query_id long, vec_id long, score double"
+HITS = "query long, query_id long, vec_id long, score double, leaf int"
 
 
 def _ranked(hits: DataFrame, k: int) -> DataFrame:
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    order = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
     return hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
+def _lengths(dims: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Each length with its places."""
+    for dim in np.unique(dims).tolist():
+        yield dim, np.flatnonzero(dims == dim)
+
+
 def search(
     df: DataFrame, is_query: Column, settings: Settings | None = None, *, id_col: str = "vec_id",
     vector_col: str = "embedding",
@@ -201,99 +223,119 @@ def search(
     settings, dtype = settings or Settings(), width(df, vector_col)
     k, spark = settings.neighbours, df.sparkSession
     usual = packed(df, id_col, vector_col).where("id is not null")
-    dims = usual.groupBy("dim").count().orderBy(F.desc("count"), F.desc("dim")).first()
-    if dims is None:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    dim = dims["dim"]
-    rows = cut(usual.where(F.col("dim") == dim).groupBy("id").agg(F.min("vec").alias("vec")))
-
-    def first(frame: DataFrame, n: int) -> pd.DataFrame:
-        """At most n rows, the first by a hash of their id."""
-        return frame.orderBy(F.xxhash64(F.lit(settings.seed), "id"), "id").limit(n).toPandas()
+    rows = cut(usual.distinct())
 
-    sample = first(rows, settings.max_sample)
-    tree = fit(matrix(sample["vec"], dtype, dim), settings)
+    by_hash = [F.xxhash64(F.lit(settings.seed), "id"), F.col("id"), F.col("dim"), F.col("vec")]
+    sample = rows.orderBy(*by_hash).limit(settings.max_sample).toPandas()
+    if sample.empty:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    trees = {
+        dim: fit(matrix(sample["vec"].iloc[at], dtype, dim), settings)
+        for dim, at in _lengths(sample["dim"].to_numpy())
+    }
 
     @F.pandas_udf("int")
-    def leaf(vecs: pd.Series) -> pd.Series:
-        return pd.Series(tree.assign(matrix(vecs, dtype, dim)), dtype="int32")
-
-    placed = cut(rows.select("id", "vec", leaf("vec").alias("leaf")))
-    queries = rows.where(is_query)
-    visited = _calibrate(placed, first(queries, settings.max_calibration), tree, dtype, dim, settings)
-
-    # One row per leaf, so bounded by the sample. A query may meet itself, so k + 1 are enough.
-    held = np.zeros(len(tree.leaves), np.int64)
-    for row in placed.groupBy("leaf").count().collect():
-        held[row["leaf"]] = row["count"]
+    def leaf(dims: pd.Series, vecs: pd.Series) -> pd.Series:
+        found = np.zeros(len(vecs), np.int32)
+        for dim, at in _lengths(dims.to_numpy()):
+            found[at] = trees.get(dim, SINGLE).assign(matrix(vecs.iloc[at], dtype, dim))
+        return pd.Series(found)
+
+    placed = cut(
+        rows.select(
+            "id", "dim", "vec", leaf("dim", "vec").alias("leaf"),
+            F.monotonically_increasing_id().alias("query"),
+        )
+    )
+    queries = placed.where(is_query).withColumnRenamed("id", "query_id").drop("leaf")
+    # At most as many lengths as the sample has room for, and their leaves.
+    split = [dim for dim, tree in trees.items() if len(tree.leaves) > 1]
+    visited, held = {}, {dim: np.zeros(len(trees[dim].leaves), np.int64) for dim in split}
+    if split:
+        several = F.col("dim").isin(split)
+        each = min(settings.max_calibration, max(1, settings.max_sample // len(split)))
+        order = Window.partitionBy("dim").orderBy(
+            F.xxhash64(F.lit(settings.seed), "query_id"), "query_id", "vec"
+        )
+        asked = queries.where(several).withColumn("n", F.row_number().over(order))
+        asked = asked.where(F.col("n") <= each).drop("n").toPandas()
+        visited = _calibrate(placed.where(several), asked, trees, dtype, settings)
+        for row in placed.where(several).groupBy("dim", "leaf").count().collect():
+            held[row["dim"]][row["leaf"]] = row["count"]
 
     @F.pandas_udf("array<int>")
-    def opened(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for vecs in batches:
-            queries = matrix(vecs, dtype, dim)
-            yield pd.Series([tree.visits(q, visited, held, k + 1) for q in queries])
-
-    asked = queries.select("id", "vec", F.explode(opened("vec")).alias("leaf"))
-    asked = cut(asked.withColumnsRenamed({"id": "query_id", "vec": "query"}))
-    # One row per leaf, so bounded by the sample.
+    def opened(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+        for dims, vecs, own in batches:
+            found = pd.Series([[0]] * len(vecs))
+            for dim, at in _lengths(dims.to_numpy()):
+                if dim in visited:
+                    # A query may meet all rows of its id.
+                    vectors, least = matrix(vecs.iloc[at], dtype, dim), k + own.to_numpy()
+                    for i, vector in zip(at.tolist(), vectors, strict=True):
+                        found[i] = trees[dim].visits(vector, visited[dim], held[dim], least[i])
+            yield found
+
+    shared = rows.groupBy("id", "dim").agg(F.count(F.lit(1)).alias("own")).where("own > 1")
+    owned = queries.join(shared.withColumnRenamed("id", "query_id"), ["query_id", "dim"], "left")
+    leaves = opened("dim", "vec", F.coalesce("own", F.lit(1).cast("long")))
+    named = [F.col(c).alias(c) for c in ("query", "query_id", "dim", "vec")]  # apart from placed's
+    asked = cut(owned.select(*named, F.explode(leaves).alias("leaf")))
+    # One row per leaf: bounded by the sample, but for lengths that it has no row of.
     blocks = (
-        placed.groupBy("leaf").agg(F.ceil(F.count("id") / settings.block_rows).alias("rows"))
+        placed.groupBy("dim", "leaf").agg(F.ceil(F.count("id") / settings.block_rows).alias("rows"))
         .join(
-            asked.groupBy("leaf")
-            .agg(F.ceil(F.count("query_id") / settings.block_queries).alias("queries")),
-            "leaf",
+            asked.groupBy("dim", "leaf")
+            .agg(F.ceil(F.count("query") / settings.block_queries).alias("queries")),
+            ["dim", "leaf"],
         )
     )
 
     def dealt(frame, id_col, own, other):
         """Each row to its own block, against all blocks of the other side."""
-        here = blocks.select("leaf", F.col("rows").alias("rows"), F.col("queries").alias("queries"))
+        here = blocks.select(*(F.col(c).alias(c) for c in ("dim", "leaf", "rows", "queries")))
         return (
-            frame.join(F.broadcast(here), "leaf")
+            frame.join(F.broadcast(here), ["dim", "leaf"])
             .withColumn(f"{own} block", F.pmod(F.xxhash64(id_col), F.col(own)))
             .withColumn(f"{other} block", F.explode(F.sequence(F.lit(0), F.col(other) - 1)))
         )
 
     def compare(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if left.empty or right.empty:
-            return _hits(iter(()))
-        found = _search(
-            matrix(right["query"], dtype, dim), right["query_id"].to_numpy(),
-            matrix(left["vec"], dtype, dim), left["id"].to_numpy(), k,
-        )
-        return _hits(found)
-
-    task = ["leaf", "rows block", "queries block"]
+        dim = 0 if left.empty else int(left["dim"].iloc[0])
+        return _hits(right, left, dtype, dim, k).drop(columns="leaf")
+
+    task = ["dim", "leaf", "rows block", "queries block"]
     hits = (
-        dealt(placed, "id", "rows", "queries").groupBy(*task)
-        .cogroup(dealt(asked, "query_id", "queries", "rows").groupBy(*task))
-        .applyInPandas(compare, HITS)
+        dealt(placed.drop("query"), "id", "rows", "queries").groupBy(*task)
+        .cogroup(dealt(asked, "query", "queries", "rows").groupBy(*task))
+        .applyInPandas(compare, HITS.removesuffix(", leaf int"))
     )
     return _ranked(hits, k).select("query_id", "rank", "vec_id", "score")
 
 
-def _calibrate(placed: DataFrame, asked: pd.DataFrame, tree: Tree, dtype, dim, settings) -> int:
-    """Leaves to visit, so that the sampled queries find the wanted share of their true
-    neighbours; those come from a comparison with all rows."""
+def _calibrate(
+    placed: DataFrame, asked: pd.DataFrame, trees: dict[int, Tree], dtype, settings: Settings
+) -> dict[int, int]:
+    """Leaves to visit by length, so that the sampled queries find the wanted share of their
+    true neighbours; those come from a comparison with all rows."""
     if asked.empty:
-        return 1
-    query_ids, queries = asked["id"].to_numpy(), matrix(asked["vec"], dtype, dim)
-    k = settings.neighbours
+        return {}
+    k, by_dim = settings.neighbours, dict(list(asked.groupby("dim")))
 
     def exact(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            if len(batch):
-                rows, ids = matrix(batch["vec"], dtype, dim), batch["id"].to_numpy()
-                found = _hits(_search(queries, query_ids, rows, ids, k))
-                leaves = dict(zip(ids.tolist(), batch["leaf"].tolist(), strict=True))
-                yield found.assign(leaf=found["vec_id"].map(leaves).astype("int32"))
-
-    hits = placed.mapInPandas(exact, f"{HITS}, leaf int")
-    truth = _ranked(hits, k).select("query_id", "leaf").toPandas()
-    order = {}
-    for query, vector in zip(query_ids, queries, strict=True):
-        order[query] = {leaf: i for i, leaf in enumerate(tree.visits(vector))}
-    needed = np.sort([order[q][leaf] for q, leaf in truth.itertuples(index=False)])
-    if not len(needed):
-        return 1
-    return int(needed[min(len(needed) - 1, int(np.ceil(settings.recall * len(needed))) - 1)]) + 1
+            for dim, at in _lengths(batch["dim"].to_numpy()):
+                if dim in by_dim:
+                    yield _hits(by_dim[dim], batch.iloc[at], dtype, dim, k)
+
+    hits = placed.drop("query").mapInPandas(exact, HITS)
+    truth = dict(list(_ranked(hits, k).select("query", "leaf").toPandas().groupby("query")["leaf"]))
+    visited = {}
+    for dim, own in by_dim.items():
+        needed = []
+        for query, vector in zip(own["query"], matrix(own["vec"], dtype, dim), strict=True):
+            order = {leaf: i for i, leaf in enumerate(trees[dim].visits(vector))}
+            needed += [order[leaf] for leaf in truth.get(query, ())]
+        needed.sort()
+        at = min(len(needed) - 1, int(np.ceil(settings.recall * len(needed))) - 1)
+        visited[dim] = needed[at] + 1 if needed else 1
+    return visited
