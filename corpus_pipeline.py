@@ -16,9 +16,10 @@ from weirline.llm.common import held_out, stored, table
 from weirline.llm.queries import BYTE_BPE, QUALITY_AT_LEAST, tokenizer_file
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
-# Texts without letters are rejected. A text of one clean word may have a cosine near zero, so
-# no higher bound is set; deployments with junk in other alphabets can raise it.
-LANGUAGE_AT_LEAST = 0.0
+# Texts without letters are rejected, and texts whose cosine is below the bound. A text of few
+# words may have a cosine near zero, one word over and over too, so the bound holds for texts
+# with enough letters in different words only. The README has the cosines it is chosen from.
+LANGUAGE_AT_LEAST, LANGUAGE_LETTERS = 0.2, 160
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,8 +33,10 @@ def keep_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Documents in a language: with letters, and like one of the learned languages."""
     profiles = langid.fit(docs.where(~held_out()))
     found = docs.withColumn("found language", langid.predict(F.col("text"), profiles))
+    words = F.array_distinct(F.split(F.lower("text"), r"\P{L}+"))
+    few = F.length(F.array_join(words, "")) < LANGUAGE_LETTERS
     kept = (F.col("found language.lang_pred") != langid.UNKNOWN) & (
-        F.col("found language.score") >= LANGUAGE_AT_LEAST
+        (F.col("found language.score") >= LANGUAGE_AT_LEAST) | few  # words of few texts are split
     )
     return found.where(kept).drop("found language")
 

@@ -38,6 +38,20 @@ def test_language_stage_rejects_texts_without_letters(spark):
     assert sorted(r.doc_id for r in kept.collect()) == [0, 4]
 
 
+def test_language_stage_rejects_letter_junk(spark):
+    rng = np.random.default_rng(3)
+    alphabets = ["abcdefghijklmnopqrstuvwxyz   ", "абвгдежзийклмнопрстуфхцчшщыьэюя   ", "αβγδεζηθικλμνξο   "]
+    junk = ["".join(rng.choice(list(a), 800)) for a in alphabets]
+    rows = spark.read.parquet(f"{SF}/documents.parquet").where("lang is not null")
+    first = 10 + rows.agg({"doc_id": "max"}).first()[0]
+    planted = [(first + i, text, None, None, len(text)) for i, text in enumerate(junk)]
+    docs = rows.unionByName(spark.createDataFrame(planted, rows.schema))
+    kept = {r.doc_id for r in corpus_pipeline.keep_language(spark, docs, SF).collect()}
+    assert not kept & {first + i for i in range(len(junk))}
+    lettered = {r.doc_id for r in rows.where(rows["text"].rlike(r"\p{L}")).collect()}
+    assert kept == lettered  # not one text of a learned language goes, however short
+
+
 def test_empty_documents(spark):
     docs = documents(spark, [], extra=False)
     for _, stage in corpus_pipeline.STAGES:
