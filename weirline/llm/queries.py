@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weirline.llm import ann, bpe, chat, embed_dedup, langid, licenses, packing, quality, simhash, suffix
+from weirline.llm import (
+    ann, bpe, chat, embed_dedup, langid, licenses, packing, quality, simhash, suffix, weak_rules,
+)
 from weirline.llm.common import held_out, stored, table
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -108,6 +110,14 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix.removed_bytes(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = weak_rules.judge(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept", "posterior",
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_quality_classifier": op2_quality_classifier,
@@ -119,6 +129,7 @@ QUERIES: dict[str, Query] = {
     "op8_embedding_dedup": op8_embedding_dedup,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op11_quality_rules": op11_quality_rules,
 }
 
 ORACLE_SQL: dict[str, str] = {"op3_license_scan": licenses.oracle_sql()}
