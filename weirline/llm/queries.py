@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weirline.llm import (
-    ann, bpe, chat, embed_dedup, langid, licenses, packing, quality, simhash, suffix, weak_rules,
+    ann, bpe, chat, embed_dedup, langid, licenses, merkle, packing, quality, simhash, suffix, trie,
+    weak_rules,
 )
-from weirline.llm.common import held_out, stored, table
+from weirline.llm.common import cut, held_out, stored, table
 
 BYTE_BPE = "byte_bpe_50k.json"
 MULTI_BPE = "byte_bpe_multi_50k.tiktoken"
@@ -118,6 +119,17 @@ def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    even = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    text = F.when(even, F.translate("text", "\n", "")).otherwise(F.col("text"))
+    return merkle.manifest(table(spark, sf_dir, "documents"), {"text": text})
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    return trie.build(trie.spliced(cut(trie.steps(turns))))
+
+
 QUERIES: dict[str, Query] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_quality_classifier": op2_quality_classifier,
@@ -130,6 +142,8 @@ QUERIES: dict[str, Query] = {
     "op9_byte_bpe": op9_byte_bpe,
     "op10_suffix_dedup": op10_suffix_dedup,
     "op11_quality_rules": op11_quality_rules,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 ORACLE_SQL: dict[str, str] = {"op3_license_scan": licenses.oracle_sql()}
