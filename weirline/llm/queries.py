@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weirline.llm import (
-    ann, bpe, chat, embed_dedup, langid, licenses, merkle, packing, quality, simhash, suffix, trie,
-    weak_rules,
+    ann, bpe, chat, embed_dedup, langid, licenses, merkle, packing, quality, reference_sql,
+    simhash, suffix, trie, weak_rules,
 )
 from weirline.llm.common import cut, held_out, stored, table
 
@@ -146,4 +146,8 @@ QUERIES: dict[str, Query] = {
     "op13_prefix_trie": op13_prefix_trie,
 }
 
-ORACLE_SQL: dict[str, str] = {"op3_license_scan": licenses.oracle_sql()}
+ORACLE_SQL: dict[str, str] = {
+    "op3_license_scan": licenses.oracle_sql(),
+    "op12_merkle_manifest": reference_sql.merkle(),
+    "op13_prefix_trie": reference_sql.prefix_trie(),
+}
