@@ -5,24 +5,35 @@ non-space: a new piece starts there. Texts are therefore split at spaces, the wo
 a batch made unique and looked up in a bounded table of words met lately, and their ids
 gathered in the order of the texts; all of that is Arrow's. Only words that are not in
 the table reach the tokenizer, so cost follows the number of different words of a task.
+
+A word that a run of white space follows is cut, together with the run, where the
+pattern cuts: a run but for its last character is a piece, and the last goes with the
+word behind it if it is a space. The parts behind a space are looked up in the same
+table, the others in one of their own; the words around are not affected.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterator
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CUT = re.compile(r" (?=\S)")
 MARKS = ".,"
-# Empty, or white space first: what str.isspace() holds for.
-RUN = (
-    r"^([\t-\r\x1c- \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}"
-    r"\x{205f}\x{3000}]|$)"
+# White space of the pattern (Unicode's White_Space; fixed values).
+WHITE = (
+    r"\t-\r \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 )
+RUN = rf"^([{WHITE}]|$)"
+BEHIND_SPACE = rf"^ [^{WHITE}]"
+_WHITE = re.sub(r"x\{(\w+)\}", lambda m: "u" + m[1].zfill(4), WHITE)
+CHUNK = re.compile(rf" ?[^{_WHITE}]+|[{_WHITE}]+(?![^{_WHITE}])|[{_WHITE}]")
+ANY_WHITE = re.compile(f"[{_WHITE}]")
+NOTHING = pa.array([b""], pa.binary())
+LONGEST_CACHED = 256  # characters of a text that is kept
 BATCH_BYTES = 1 << 24  # of text that is split at a time
 WORD_BYTES = 4  # ids are unsigned, little-endian, 32 bits
 
@@ -31,23 +42,30 @@ def spelled(key: str) -> str:
     return key if key[0] == "\n" else f" {key}"
 
 
-def _parts(word: str) -> list[tuple[str, str]]:
-    """Keys of the lines of a word, each with the mark that ends it. A single line break
-    between non-spaces is a piece of its own, and the pattern parts a mark from the
-    letters before it; other white space keeps a word whole."""
-    if "\n" not in word:
-        return [_marked(word)]
-    lines = word.split("\n")
-    if any(not x or x[0].isspace() or x[-1].isspace() for x in lines):
-        return [_marked(word)]
-    first, *rest = map(_marked, lines)
-    return [first, *((f"\n{key}", mark) for key, mark in rest)]
-
-
-def _marked(line: str) -> tuple[str, str]:
-    if line[-1] in MARKS and line[-2:-1].isalpha():
-        return line[:-1], line[-1]
-    return line, ""
+def _parts(word: str) -> list[tuple[list[str], str, bool, str]]:
+    """What a word consists of: white space on its own, a key, whether the line break of
+    the key is not in the word, and the mark behind it (the pattern parts a mark from the
+    letters before it)."""
+    if not ANY_WHITE.search(word):
+        return [([], *_marked(word, False))]
+    out, white = [], []
+    for piece in CHUNK.findall(word):
+        if ANY_WHITE.match(piece):
+            white.append(piece)
+        elif not out:
+            out.append((white, *_marked(piece, False)))
+            white = []
+        else:
+            own = white == ["\n"]
+            out.append(([] if own else white, *_marked(f"\n{piece}", not own)))
+            white = []
+    return [*out, (white, "", False, "")] if white else out
+
+
+def _marked(key: str, bare: bool) -> tuple[str, bool, str]:
+    if key[-1] in MARKS and key[-2:-1].isalpha():
+        return key[:-1], bare, key[-1]
+    return key, bare, ""
 
 
 class ChunkEncoder:
@@ -89,24 +107,41 @@ class ChunkEncoder:
         ids, runs = self._look_up(coded.dictionary)
         at = coded.indices.to_numpy().copy()
         at[bounds[:-1]] = len(ids)  # a first word has no space before it; see below
-        spaced = set()
-        if runs:
-            places = np.flatnonzero(np.isin(at, runs))
-            spaced.update((np.searchsorted(bounds, places, "right") - 1).tolist())
-        gathered = pa.concat_arrays([ids, pa.array([b""], pa.binary())]).take(pa.array(at))
-        _, offsets, data = gathered.buffers()
-        ends = np.frombuffer(offsets, np.int32)[gathered.offset + bounds].tolist()
-        data = memoryview(data) if data is not None else memoryview(b"")
+        here = np.flatnonzero(np.isin(at, runs)) if runs else np.zeros(0, np.int64)
+        chunks, heads, starts = self._with_runs(flat, here, bounds)
+        at[here] = len(ids)
+        at[heads] = len(ids) + 1 + np.arange(len(heads))
+        ends, data = _gathered(pa.concat_arrays([ids, NOTHING, chunks]), at, bounds)
+        starts = set(starts)
         for i, first in enumerate(firsts):
-            if i in spaced:
-                yield self._spaced(texts[i].as_py())
-            else:
-                yield self._text(first) + bytes(data[ends[i] : ends[i + 1]])
+            own = b"" if i in starts else self._text(first)
+            yield own + bytes(data[ends[i] : ends[i + 1]])
+
+    def _with_runs(
+        self, words: pa.Array, runs: np.ndarray, bounds: np.ndarray
+    ) -> tuple[pa.Array, np.ndarray, list[int]]:
+        """Ids of the words that have runs of white space behind them, up to the next
+        word, where those words are, and the texts that start with one."""
+        if not len(runs):
+            return NOTHING.slice(1), runs, []
+        heads = runs[np.diff(runs, prepend=-2) != 1] - 1
+        parts = np.union1d(heads, runs)
+        strings = words.take(pa.array(parts)).to_pylist()
+        cuts = [*np.searchsorted(parts, heads).tolist(), len(parts)]
+        of = np.searchsorted(bounds, heads, "right") - 1
+        first = bounds[of] == heads
+        joined = [" ".join(strings[a:b]) for a, b in pairwise(cuts)]
+        texts = [t if alone else f" {t}" for t, alone in zip(joined, first.tolist(), strict=True)]
+        different = list(dict.fromkeys(texts))
+        ids = dict(zip(different, self._chunks(different), strict=True))
+        return pa.array([ids[t] for t in texts], pa.binary()), heads, of[first].tolist()
 
     def _text(self, text: str) -> bytes:
         """Ids of a short text on its own."""
         if not text:
             return b""
+        if len(text) > LONGEST_CACHED:
+            return self.encode_text(text)
         if text not in self.texts:
             if len(self.texts) > self.max_cached // 8:
                 self.texts.clear()
@@ -120,7 +155,7 @@ class ChunkEncoder:
         absent = pc.is_null(at)
         run = pc.match_substring_regex(words, RUN)  # a key of the table may look like one
         absent = pc.and_not(absent, run)
-        parted = pc.and_(absent, pc.match_substring_regex(words, r"\n|[.,]$"))
+        parted = pc.and_(absent, pc.match_substring_regex(words, rf"[{WHITE}]|[.,]$"))
         plain = pc.and_not(absent, parted)
         simple, joined = words.filter(plain), words.filter(parted)
         simple_ids = self.encode_keys(simple.to_pylist())
@@ -149,7 +184,8 @@ class ChunkEncoder:
         """Ids of words with line breaks or marks, from those of their parts, which may be
         known; and the parts that were not."""
         parts = [_parts(word) for word in words]
-        keys = pa.array(dict.fromkeys(key for own in parts for key, _ in own), pa.string())
+        known = dict.fromkeys(key for own in parts for _, key, _, _ in own if key)
+        keys = pa.array(known, pa.string())
         ids = dict(
             zip(
                 keys.to_pylist(),
@@ -164,20 +200,45 @@ class ChunkEncoder:
         new = [key for key, known in ids.items() if known is None]
         new_ids = self.encode_keys(new)
         ids.update(zip(new, new_ids, strict=True))
-        marks = {mark: self._text(mark) for mark in ("", *MARKS)}
-        joined = [
-            ids[own[0][0]] + marks[own[0][1]]
-            if len(own) == 1
-            else b"".join([ids[key] + marks[mark] for key, mark in own])
-            for own in parts
-        ]
+        ids[""] = b""
+        line_break = len(self._text("\n"))
+
+        def joined(own: list[tuple[list[str], str, bool, str]]) -> bytes:
+            if len(own) == 1 and not own[0][0]:
+                return ids[own[0][1]] + self._text(own[0][3])
+            out = []
+            for white, key, bare, mark in own:
+                out += map(self._text, white)
+                out.append(ids[key][line_break:] if bare else ids[key])
+                out.append(self._text(mark))
+            return b"".join(out)
+
+        whole = [joined(own) for own in parts]
         own_keys = set(words)  # a word that is its own key is kept once
         kept = [(k, i) for k, i in zip(new, new_ids, strict=True) if k not in own_keys]
-        return joined, [k for k, _ in kept], [i for _, i in kept]
-
-    def _spaced(self, text: str) -> bytes:
-        """Texts with runs of white space: chunks may hold spaces inside."""
-        chunks = CUT.split(text)
-        return b"".join(
-            self.encode_text(chunk if i == 0 else f" {chunk}") for i, chunk in enumerate(chunks)
+        return whole, [k for k, _ in kept], [i for _, i in kept]
+
+    def _chunks(self, texts: list[str]) -> Iterator[bytes]:
+        """Packed ids of texts with runs of white space, piece by piece."""
+        found = [CHUNK.findall(text) for text in texts]
+        bounds = np.concatenate([[0], np.cumsum([len(f) for f in found])])
+        coded = pa.array(chain.from_iterable(found), pa.string()).dictionary_encode()
+        behind = pc.match_substring_regex(coded.dictionary, BEHIND_SPACE)
+        ids, _ = self._look_up(pc.utf8_slice_codeunits(coded.dictionary.filter(behind), 1))
+        others = coded.dictionary.filter(pc.invert(behind)).to_pylist()
+        behind = behind.to_numpy(zero_copy_only=False)
+        where = np.where(behind, np.cumsum(behind) - 1, len(ids) + np.cumsum(~behind) - 1)
+        own = pa.array([self._text(text) for text in others], pa.binary())
+        ends, data = _gathered(
+            pa.concat_arrays([ids, own]), where[coded.indices.to_numpy()], bounds
         )
+        for a, b in pairwise(ends):
+            yield bytes(data[a:b])
+
+
+def _gathered(ids: pa.Array, at: np.ndarray, bounds: np.ndarray) -> tuple[list[int], memoryview]:
+    """``ids`` in the order ``at``, on end, and where each of the ``bounds`` is in them."""
+    gathered = ids.take(pa.array(at))
+    _, offsets, data = gathered.buffers()
+    ends = np.frombuffer(offsets, np.int32)[gathered.offset + bounds].tolist()
+    return ends, memoryview(data) if data is not None else memoryview(b"")
