@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 FOLDS = 5
+ROW_GROUP = 16 << 20  # bytes
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -41,7 +42,8 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     in the shared folder, which the cluster has to expire."""
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    # A task holds a row group of whole texts in memory, twice while it grows.
+    df.write.option("compression", "zstd").option("parquet.block.size", ROW_GROUP).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
