@@ -54,3 +54,32 @@ def test_held_out_accuracy(spark):
     both = found.merge(truth, on="doc_id")
     held = both[both.held_out]
     assert len(held) > 20 and (held.lang == held.lang_pred).mean() > 0.95
+
+
+def test_numbers_are_no_letters(spark):
+    texts = ["½ ②", "Ⅷ", "½ ab", "１２３", "ªº"]
+    profiles = langid.fit(documents(spark, ["the cat sat", "le chat noir"], langs=["en", "fr"]))
+    docs = documents(spark, texts)
+    found = docs.select("doc_id", langid.predict(docs["text"], profiles).alias("p")).collect()
+    assert {r.doc_id: r.p.lang_pred == "und" for r in found} == {0: True, 1: True, 2: False, 3: True, 4: False}
+
+
+def test_many_ngrams_stay_within_the_table():
+    import resource
+
+    settings = langid.Settings(max_grams=1 << 12)
+    rng = np.random.default_rng(5)
+    text = "".join(map(chr, rng.integers(0x4E00, 0x9FFF, 1_000_000)))
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    encoder = langid.Encoder(settings)
+    vector = encoder.vector(text)
+    assert (resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) / 1024 < 300
+    assert len(encoder.vectors) == 1 << 12 and encoder.known <= 1 << 12
+
+    part = text[:9000]
+    codes = langid.letter_classes(part)
+    codes = (codes[:-2] * langid.LETTERS + codes[1:-1]) * langid.LETTERS + codes[2:]
+    plain = encoder.gram_vectors(codes).astype(float).sum(0)
+    assert np.array_equal(encoder.vector(part), plain)
+    assert np.array_equal(langid.Encoder(langid.Settings()).vector(part), plain)
+    assert np.linalg.norm(vector) > 0

@@ -37,6 +37,7 @@ import tiktoken
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from weirline.llm.common import freeing
 from weirline.llm.tokens import ChunkEncoder, spelled
 
 NODE_BITS = 32  # a hypothesis is last + 1 above, its trie node below; 0 is the start
@@ -268,6 +269,7 @@ def encode(text: Column, ranks_path: str, pattern: str) -> Column:
     """Ids of a text as packed little-endian unsigned 32-bit integers."""
 
     @F.pandas_udf("binary")
+    @freeing
     def encoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         encoder = text_encoder(read_ranks(ranks_path), pattern)
         with uncollected():
@@ -416,6 +418,7 @@ def decode(ids: Column, ranks_path: str) -> Column:
     """Text of packed ids."""
 
     @F.pandas_udf("string")
+    @freeing
     def decoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         decoder = Decoder(read_ranks(ranks_path))
         for some in batches:
@@ -429,6 +432,7 @@ def round_trip(text: Column, ranks_path: str, pattern: str) -> Column:
     ids alone), in one pass over the texts."""
 
     @F.pandas_udf("ids binary, decoded string")
+    @freeing
     def coded(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         ranks = read_ranks(ranks_path)
         encoder, decoder = text_encoder(ranks, pattern), Decoder(ranks)

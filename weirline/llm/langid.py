@@ -7,7 +7,8 @@ A text gets the language whose prototype has the largest cosine with its vector.
 
 A text's vector is worked out from its n-gram counts: counts times the matrix of
 n-gram vectors, whose rows are made when first met and dropped when they become
-too many, so memory is bounded whatever the alphabet.
+too many. A slice of a text that has more different n-grams than the matrix has rows
+is added up in parts, so memory is bounded whatever the alphabet.
 
 Defined results: texts that are null, empty or without letters get ``und`` and
 score 0, as does every text if there is nothing to learn from; ties go to the
@@ -26,10 +27,13 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from weirline.llm.common import freeing
+
 UNKNOWN = "und"
 NO_LETTERS = re.compile(r"[\W\d_]+")
 LETTERS = 128  # letter classes: 0 is the gap, a to z, the rest by code point
-SLICE = 1 << 20  # characters of a text that are counted at a time
+SLICE = 1 << 18  # characters of a text that are counted at a time
+PART = 1 << 10  # n-gram vectors that are made or added up at a time
 
 
 @dataclass(frozen=True)
@@ -43,7 +47,11 @@ class Settings:
 
 def letter_classes(text: str) -> np.ndarray:
     """Letter classes of a text in lower case, gaps between words as 0."""
-    words = NO_LETTERS.sub(" ", text.lower()).strip()
+    words = NO_LETTERS.sub(" ", text.lower())
+    if not words.isascii():  # numbers such as one half are word characters, but no letters
+        others = {ord(c): " " for c in set(words) - {" "} if not c.isalpha()}
+        words = " ".join(words.translate(others).split()) if others else words
+    words = words.strip()
     if not words:
         return np.zeros(0, np.int64)
     points = np.frombuffer(f" {words} ".encode("utf-32-le"), np.uint32).astype(np.int64)
@@ -64,7 +72,8 @@ class Encoder:
 
     def _forget(self):
         self.row = np.full(LETTERS**self.settings.gram, -1, np.int32)
-        self.vectors = np.empty((0, self.settings.dimensions), np.int8)
+        self.known = 0
+        self.vectors = np.empty((self.settings.max_grams, self.settings.dimensions), np.int8)
 
     def gram_vectors(self, codes: np.ndarray) -> np.ndarray:
         """Binding: the product of the letters' vectors, rotated by place."""
@@ -74,15 +83,41 @@ class Encoder:
             out *= np.roll(self.letters, place, axis=1)[letter]
         return out
 
-    def _rows(self, codes: np.ndarray) -> np.ndarray:
+    def _learn(self, new: np.ndarray) -> None:
+        """Makes room for new codes, at most ``max_grams``, and their vectors."""
+        if self.known + len(new) > self.settings.max_grams:
+            self.row.fill(-1)
+            self.known = 0
+        last = self.known + len(new)
+        self.row[new] = np.arange(self.known, last)
+        for a in range(0, len(new), PART):
+            at = self.known + a
+            self.vectors[at : min(at + PART, last)] = self.gram_vectors(new[a : a + PART])
+        self.known = last
+
+    def _bundle(self, rows: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """Vectors of some rows, each as often as it counts, added up."""
+        out = np.zeros(self.settings.dimensions)
+        for a in range(0, len(rows), PART):
+            part = self.vectors[rows[a : a + PART]].astype(np.float32)
+            out += counts[a : a + PART].astype(np.float32) @ part
+        return out
+
+    def _bundled(self, codes: np.ndarray) -> np.ndarray:
         new = np.unique(codes[self.row[codes] < 0])
-        if len(self.vectors) + len(new) > self.settings.max_grams:
-            self._forget()
-            new = np.unique(codes)
-        if len(new):
-            self.row[new] = np.arange(len(self.vectors), len(self.vectors) + len(new))
-            self.vectors = np.vstack([self.vectors, self.gram_vectors(new)])
-        return self.row[codes]
+        if self.known + len(new) <= self.settings.max_grams:
+            self._learn(new)
+            counts = np.bincount(self.row[codes], minlength=1)
+            seen = np.flatnonzero(counts)
+            return self._bundle(seen, counts[seen])
+        out, most = np.zeros(self.settings.dimensions), self.settings.max_grams
+        different, counts = np.unique(codes, return_counts=True)
+        for a in range(0, len(different), most):
+            part = different[a : a + most]
+            self.known = most  # every part starts from an empty table
+            self._learn(part)
+            out += self._bundle(self.row[part], counts[a : a + most])
+        return out
 
     def vector(self, text: str | None) -> np.ndarray | None:
         """Bundle of a whole text's n-grams; None without letters."""
@@ -95,10 +130,7 @@ class Encoder:
             codes = np.zeros(max(0, len(part) - n + 1), np.int64)
             for place in range(n):
                 codes = codes * LETTERS + part[place : place + len(codes)]
-            rows = self._rows(codes)
-            counts = np.bincount(rows, minlength=1)
-            seen = np.flatnonzero(counts)
-            out += counts[seen].astype(np.float32) @ self.vectors[seen].astype(np.float32)
+            out += self._bundled(codes)
         return out
 
 
@@ -134,6 +166,7 @@ def fit(
         return Profiles((), np.zeros((0, settings.dimensions)), settings)
     sample = labelled.where(F.xxhash64(F.lit(settings.seed), "id") <= limit)
 
+    @freeing
     def bundle(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoder, sums = Encoder(settings), {}
         for batch in batches:
@@ -158,6 +191,7 @@ def predict(text: Column, profiles: Profiles) -> Column:
     """Struct of ``lang_pred`` and ``score`` (the cosine, not below 0) of a text."""
 
     @F.pandas_udf("lang_pred string, score double")
+    @freeing
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         encoder = Encoder(profiles.settings)
         for texts in batches:

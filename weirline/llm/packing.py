@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from weirline.llm.common import freeing
 from weirline.llm.tokens import WORD_BYTES, ChunkEncoder, spelled
 
 ROWS_PER_BUCKET = 200_000
@@ -82,6 +83,7 @@ def token_pieces(
                 for piece, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
                     yield doc, piece, a, b - a, ids[a * WORD_BYTES : b * WORD_BYTES]
 
+    @freeing
     def batched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = pieces(batches)
         while some := list(islice(rows, PIECE_BATCH)):

@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weirline.llm.common import cut
+from weirline.llm.common import cut, freeing
 
 WORD = re.compile(r"\w+|[^\w\s]+")
 SLICE = 1 << 20  # characters of a text that are pooled at a time
@@ -201,6 +201,7 @@ def fit(
         texts.join(F.broadcast(chosen), "id").repartition(settings.tasks)
     )
 
+    @freeing
     def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = _context_sums((t for b in batches for t in b["text"] if t), settings)
         for chunk in range(0, settings.classes, CHUNK):
@@ -226,6 +227,7 @@ def fit(
     vectors /= np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9)
     vectors = vectors.astype(np.float32)
 
+    @freeing
     def pooled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words = Words(settings.classes)
         for batch in batches:
@@ -248,6 +250,7 @@ def score(text: Column, model: Model) -> Column:
     """Probability of label 1 for a text."""
 
     @F.pandas_udf("double")
+    @freeing
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         words = Words(model.settings.classes)
         for texts in batches:

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weirline.llm.common import cut
+from weirline.llm.common import cut, freeing
 from weirline.llm.graph import components
 
 BLOCKS, BLOCK_BITS = 4, 16
@@ -63,6 +63,7 @@ def fingerprint_of(text: str | None, shingle: int = 3) -> int:
 
 def fingerprint(text: Column, shingle: int = 3) -> Column:
     @F.pandas_udf("long")
+    @freeing
     def marked(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
             yield pd.Series([fingerprint_of(t, shingle) for t in texts], dtype="int64")

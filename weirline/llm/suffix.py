@@ -42,7 +42,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weirline.llm.common import bucketed, cut, stored
+from weirline.llm.common import bucketed, cut, freeing, stored
 
 PLACE_BITS = 20  # of a slice's positions, kept below the hash when minima are taken
 SLICE = (1 << PLACE_BITS) - 1
@@ -242,7 +242,7 @@ def _texts(docs: DataFrame, text_col: str, settings: Settings) -> DataFrame:
     long = docs.where(F.octet_length(text_col) >= settings.length).select(
         *_digests(text_col), F.col(text_col).cast("string").alias("text")
     )
-    packed = long.mapInArrow(shrink, "h1 long, h2 long, text binary")
+    packed = long.mapInArrow(freeing(shrink), "h1 long, h2 long, text binary")
     return packed.groupBy(*TEXT).agg(F.count(F.lit(1)).alias("copies"), F.first("text").alias("text"))
 
 
@@ -268,7 +268,7 @@ def _anchor_rows(texts: DataFrame, settings: Settings) -> DataFrame:
                 )
 
     return texts.select(*TEXT, "text").mapInArrow(
-        find, "key long, h1 long, h2 long, first long, last long"
+        freeing(find), "key long, h1 long, h2 long, first long, last long"
     )
 
 
@@ -293,7 +293,7 @@ def _stretch_rows(wanted: DataFrame, settings: Settings) -> DataFrame:
                     yield key, digest, stretch, h1, h2, first, copies
 
     return wanted.mapInArrow(
-        lambda batches: _batches(rows(batches), schema),
+        freeing(lambda batches: _batches(rows(batches), schema)),
         "key long, digest long, stretch binary, h1 long, h2 long, first long, copies long",
     )
 
@@ -340,7 +340,7 @@ def _index_rows(different: DataFrame, settings: Settings) -> DataFrame:
                         yield keys[i], digests[i], low, high
 
     return different.mapInArrow(
-        lambda batches: _batches(rows(batches), schema), "key long, digest long, low long, high long"
+        freeing(lambda batches: _batches(rows(batches), schema)), "key long, digest long, low long, high long"
     )
 
 
@@ -363,7 +363,7 @@ def _hot_windows(wanted: DataFrame, settings: Settings) -> DataFrame:
                         yield w1, w2, h1, h2, copies, at, at
 
     return wanted.mapInArrow(
-        lambda batches: _batches(rows(batches), schema),
+        freeing(lambda batches: _batches(rows(batches), schema)),
         "w1 long, w2 long, h1 long, h2 long, copies long, low long, high long",
     )
 

@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weirline.llm.common import stored
+from weirline.llm.common import freeing, stored
 
 WORD = re.compile(r"[^ \t-\r]+")
 SPACE = re.compile(r"[ \t-\r]")
@@ -149,6 +149,7 @@ def features(text: Column) -> Column:
     names = [f.split()[0] for f in FEATURES.split(", ")]
 
     @F.pandas_udf(FEATURES)
+    @freeing
     def counted(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         kinds = _kinds()
         for texts in batches:
