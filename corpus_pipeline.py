@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weirline.llm import langid, packing, quality, simhash, suffix
-from weirline.llm.common import held_out, stored, table
+from weirline.llm.common import few_texts_at_a_time, held_out, stored, table
 from weirline.llm.queries import BYTE_BPE, QUALITY_AT_LEAST, tokenizer_file
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -24,6 +24,7 @@ LANGUAGE_AT_LEAST, LANGUAGE_LETTERS = 0.2, 160
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose quality score is at least the threshold."""
+    few_texts_at_a_time(spark)
     labels = table(spark, sf_dir, "labels", "doc_id", "quality").where(~held_out())
     model = quality.fit(docs, labels)
     return docs.where(quality.score(F.col("text"), model) >= QUALITY_AT_LEAST)
@@ -31,6 +32,7 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def keep_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language: with letters, and like one of the learned languages."""
+    few_texts_at_a_time(spark)
     profiles = langid.fit(docs.where(~held_out()))
     found = docs.withColumn("found language", langid.predict(F.col("text"), profiles))
     words = F.array_distinct(F.split(F.lower("text"), r"\P{L}+"))
@@ -43,16 +45,19 @@ def keep_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates, the one with the smallest id."""
+    few_texts_at_a_time(spark)
     return simhash.keep_one(docs)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the strings that occur elsewhere too; no document goes."""
+    few_texts_at_a_time(spark)
     return suffix.remove(docs).withColumn("n_chars", F.length("text").cast("long"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents, with their sequence and their place in it."""
+    few_texts_at_a_time(spark)
     pieces = packing.token_pieces(docs, tokenizer_file(BYTE_BPE))
     digests = pieces.select(
         "doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")
