@@ -69,11 +69,6 @@ def strip_lower(col: Column) -> Column:
     return F.lower(strip(col))
 
 
-def fold(col: Column) -> Column:
-    """One spelling for all that a case-insensitive collation holds equal."""
-    return F.initcap(F.lower(col))
-
-
 def label_of(key: Column, labels: Mapping[str, str]) -> Column:
     """The label of a strip+lower spelling; an unknown spelling stays as it is."""
     expr = None

@@ -14,23 +14,19 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from weirline.functions.dates import date_parts, month_start
 from weirline.functions.numbers import round_ratio
-from weirline.functions.text import fold
+from weirline.operators.collation import collated, group_agg
 from weirline.operators.rows import distinct_rows
-from weirline.operators.rules import classify, is_region, sum_where, uplift_where
+from weirline.operators.rules import classify, sum_where, uplift_where
 from weirline.settings import Settings
 
 
-def fold_case(df: DataFrame, settings: Settings) -> DataFrame:
-    """A silver table as the star schema sees it. Cleaning tells cases apart, facts, joins
-    and rules do not; the keys are folded once, where gold begins, so every grouping
-    still combines before its shuffle."""
-    folded = {c: fold(F.col(c)) for c in ("region", "product_id") if c in df.columns}
-    texts = {c: e for c, e in folded.items() if isinstance(df.schema[c].dataType, T.StringType)}
-    return df.withColumns(texts) if settings.fold_case and texts else df
+def keyed(df: DataFrame, settings: Settings) -> DataFrame:
+    """A silver table as the star schema sees it. Cleaning tells spellings apart; facts,
+    joins and rules compare by the collation of the settings."""
+    return collated(df, ("region", "product_id"), settings.collation)
 
 
 def dim_date(orders: DataFrame) -> DataFrame:
@@ -40,7 +36,7 @@ def dim_date(orders: DataFrame) -> DataFrame:
 
 
 def dim_region(orders: DataFrame) -> DataFrame:
-    return distinct_rows(orders.select("region"))
+    return group_agg(orders, ["region"])
 
 
 # -- revenue ----------------------------------------------------------------
@@ -51,16 +47,19 @@ def sales_by(orders: DataFrame, products: DataFrame, keys: Sequence[Column | str
 
     The margin is one value per product, so it can be applied to sums: the
     result equals summing over joined order lines. Orders of unknown products
-    drop out here.
+    drop out here. Products are spelled as in the product table.
     """
-    sums = orders.groupBy(*keys, "product_id").agg(
+    sums = group_agg(
+        orders,
+        [*keys, F.col("product_id").alias("_sold")],
         F.count("order_id").alias("orders"),
         F.count(F.lit(1)).alias("lines"),
         F.sum("order_value").alias("revenue"),
         F.sum("discount_pct").alias("discount_sum"),
         F.avg("discount_pct").alias("avg_discount"),
     )
-    return sums.join(products.select("product_id", "category", "margin_pct"), "product_id")
+    known = products.select("product_id", "category", "margin_pct")
+    return sums.join(known, F.col("_sold") == F.col("product_id")).drop("_sold")
 
 
 def revenue_grain(orders: DataFrame, products: DataFrame) -> DataFrame:
@@ -86,9 +85,9 @@ def fact_revenue(orders: DataFrame, products: DataFrame) -> DataFrame:
 def fact_revenue_enriched(orders: DataFrame, products: DataFrame) -> DataFrame:
     """One row per order, with rounded margin and discount amounts."""
     value = F.col("order_value")
-    return orders.join(
-        products.select("product_id", "category", "margin_pct"), "product_id"
-    ).select(
+    known = products.select("product_id", "category", "margin_pct")
+    sold = orders.withColumnRenamed("product_id", "_sold")
+    return sold.join(known, F.col("_sold") == F.col("product_id")).select(
         "order_date",
         "region",
         "product_id",
@@ -110,7 +109,9 @@ def region_month(grain: DataFrame) -> DataFrame:
     average of the per-grain averages, which is not weighted by orders.
     """
     margin = F.col("margin_pct")
-    return grain.groupBy(month_start(F.col("date")).alias("month"), "region").agg(
+    return group_agg(
+        grain,
+        [month_start(F.col("date")).alias("month"), "region"],
         F.sum("revenue").alias("revenue"),
         F.count("avg_discount").alias("grains"),
         F.sum("avg_discount").alias("avg_discount_sum"),
@@ -123,7 +124,9 @@ def region_month(grain: DataFrame) -> DataFrame:
 
 def sales_from_facts(revenue: DataFrame) -> DataFrame:
     """Month x region sums of the written revenue fact, for targets and shortfall."""
-    return revenue.groupBy(month_start(F.col("date")).alias("month"), "region").agg(
+    return group_agg(
+        revenue,
+        [month_start(F.col("date")).alias("month"), "region"],
         F.sum("revenue").alias("revenue"),
         F.count("avg_discount").alias("grains"),
         F.sum("avg_discount").alias("avg_discount_sum"),
@@ -143,22 +146,21 @@ def product_month(orders: DataFrame, products: DataFrame) -> DataFrame:
 def fact_funnel(events: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """Day x region; a stage without events counts 0, without visits no rate."""
     stage, n, label = F.col("event_type"), F.col("count"), settings.event_labels
-    return (
-        events.groupBy(F.col("event_date").alias("date"), "region")
-        .agg(
-            sum_where(stage == label["visit"], n).alias("visits"),
-            sum_where(stage == label["add_to_cart"], n).alias("add_to_cart"),
-            sum_where(stage == label["purchase"], n).alias("purchases"),
-        )
-        .withColumn("conversion_rate", round_ratio(F.col("purchases"), F.col("visits"), 4))
+    days = group_agg(
+        events,
+        [F.col("event_date").alias("date"), "region"],
+        sum_where(stage == label["visit"], n).alias("visits"),
+        sum_where(stage == label["add_to_cart"], n).alias("add_to_cart"),
+        sum_where(stage == label["purchase"], n).alias("purchases"),
     )
+    return days.withColumn("conversion_rate", round_ratio(F.col("purchases"), F.col("visits"), 4))
 
 
 def target_uplift(targets: DataFrame, settings: Settings = Settings()) -> DataFrame:
     return uplift_where(
         targets,
         "target_revenue",
-        is_region(F.col("region"), settings.uplift_region, settings),
+        F.col("region") == settings.uplift_region,
         settings.uplift_factor,
     )
 
@@ -166,10 +168,10 @@ def target_uplift(targets: DataFrame, settings: Settings = Settings()) -> DataFr
 def fact_targets(targets: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """Month x region, uplifted per row and scaled per group."""
     scaled = F.sum("target_revenue") * F.lit(settings.target_scale)
-    return (
-        target_uplift(targets, settings)
-        .groupBy("month", "region")
-        .agg(F.round(scaled, 2).alias("target_revenue"))
+    return group_agg(
+        target_uplift(targets, settings),
+        ["month", "region"],
+        F.round(scaled, 2).alias("target_revenue"),
     )
 
 
@@ -207,7 +209,7 @@ MONTHLY_COLUMNS = (
 
 def fact_revenue_monthly(sales: DataFrame, targets: DataFrame) -> DataFrame:
     """``sales``: any rows with month, region and revenue (a table or a rollup)."""
-    totals = sales.groupBy("month", "region").agg(F.sum("revenue").alias("revenue"))
+    totals = group_agg(sales, ["month", "region"], F.sum("revenue").alias("revenue"))
     return against_target(totals, targets).select(*MONTHLY_COLUMNS)
 
 
@@ -236,14 +238,15 @@ def sales_with_targets(sales: DataFrame, targets: DataFrame) -> DataFrame:
     region = Window.partitionBy("region")
     has_region = F.col("region").isNotNull()
     has_both = has_region & F.col("month").isNotNull()
+    cells = group_agg(
+        stacked,
+        ["month", "region"],
+        *[F.sum(c).alias(c) for c in sums],
+        F.max("target_revenue").alias("target_revenue"),
+        F.max("_sold").alias("_sold"),
+    )
     rows = (
-        stacked.groupBy("month", "region")
-        .agg(
-            *[F.sum(c).alias(c) for c in sums],
-            F.max("target_revenue").alias("target_revenue"),
-            F.max("_sold").alias("_sold"),
-        )
-        .withColumns(
+        cells.withColumns(
             {
                 "region_revenue": F.sum("revenue").over(region),
                 "region_target": F.when(has_region, F.sum("target_revenue").over(region)),
@@ -263,14 +266,16 @@ def leakage_amount(actual: Column, target: Column) -> Column:
 
 
 def region_targets(targets: DataFrame) -> DataFrame:
-    return targets.groupBy("region").agg(F.sum("target_revenue").alias("target_total"))
+    return group_agg(targets, ["region"], F.sum("target_revenue").alias("target_total"))
 
 
 def fact_leakage(
     sales: DataFrame, targets: DataFrame, settings: Settings = Settings()
 ) -> DataFrame:
     """Region shortfall, from the ``region_month`` rollup."""
-    regions = sales.groupBy("region").agg(
+    regions = group_agg(
+        sales,
+        ["region"],
         F.sum("revenue").alias("revenue"),
         F.sum("avg_discount_sum").alias("avg_discount_sum"),
         F.sum("grains").alias("grains"),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from weirline.functions.dates import month_start
 from weirline.functions.numbers import percent, round_ratio
+from weirline.operators.collation import group_agg
 from weirline.operators.rules import classify
 from weirline.plans import gold
 from weirline.settings import Settings
@@ -97,8 +98,9 @@ def validate_leakage_sign(leakage: DataFrame) -> DataFrame:
 def validate_funnel(funnel: DataFrame) -> DataFrame:
     visits, purchases = F.sum("visits"), F.sum("purchases")
     return (
-        funnel.groupBy("region")
-        .agg(
+        group_agg(
+            funnel,
+            ["region"],
             visits.alias("total_visits"),
             F.sum("add_to_cart").alias("total_cart"),
             purchases.alias("total_purchases"),
@@ -112,8 +114,9 @@ def margin_and_discount(sales: DataFrame, by: str) -> DataFrame:
     """Mean margin and discount per order line, from ``sales_by`` sums."""
     margin, lines = F.col("margin_pct"), F.col("lines")
     return (
-        sales.groupBy(by)
-        .agg(
+        group_agg(
+            sales,
+            [by],
             percent(
                 F.sum(margin * lines), F.sum(F.when(margin.isNotNull(), lines))
             ).alias("avg_margin_pct"),

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weirline.functions.numbers import mean, percent, round_ratio
+from weirline.operators.collation import group_agg
 from weirline.plans import gold
 from weirline.settings import RECOVERY_SCENARIO, Settings
 
@@ -55,7 +56,7 @@ def recovery_measures() -> list[Column]:
 
 def measure(df: DataFrame, measures: Sequence[Column], context: Sequence[Column | str] = ()):
     """Evaluate measures under a context; no context gives the grand total."""
-    return df.groupBy(*context).agg(*measures)
+    return group_agg(df, context, *measures)
 
 
 KPI_COLUMNS = (
@@ -79,14 +80,12 @@ def _region_sums(
     shortfall and recovery that are defined per region. Orders are read once."""
     additive = ("actual_revenue", "target_revenue", "variance")
     additive += ("margin_sum", "margin_lines", "discount_sum", "lines")
-    regions = (
-        gold.sales_with_targets(sales, targets)
-        .groupBy("region", "region_revenue", "region_target")
-        .agg(
-            *[F.sum(c).alias(c) for c in additive],
-            F.sum("achievement_pct").alias("achievement_sum"),
-            F.count("achievement_pct").alias("achievement_rows"),
-        )
+    regions = group_agg(
+        gold.sales_with_targets(sales, targets),
+        ["region", "region_revenue", "region_target"],
+        *[F.sum(c).alias(c) for c in additive],
+        F.sum("achievement_pct").alias("achievement_sum"),
+        F.count("achievement_pct").alias("achievement_rows"),
     )
     gap = gold.leakage_amount(F.col("region_revenue"), F.col("region_target"))
     regions = regions.withColumn("leakage_amount", gap)

@@ -79,10 +79,10 @@ def build_gold(
         out[name] = warehouse.write(df, name)
         return out[name]
 
-    orders = gold.fold_case(tables["stg_orders"], settings)
-    products = gold.fold_case(tables["dim_product"], settings)
-    events = gold.fold_case(tables["stg_web_events"], settings)
-    planned = gold.fold_case(tables["stg_targets"], settings)
+    orders = gold.keyed(tables["stg_orders"], settings)
+    products = gold.keyed(tables["dim_product"], settings)
+    events = gold.keyed(tables["stg_web_events"], settings)
+    planned = gold.keyed(tables["stg_targets"], settings)
     write("dim_date", gold.dim_date(orders))
     write("dim_region", gold.dim_region(orders))
     write("fact_revenue", gold.fact_revenue(orders, products))
@@ -113,8 +113,8 @@ def build_measures(
     tables: Mapping[str, DataFrame], settings: Settings = Settings()
 ) -> dict[str, DataFrame]:
     """The ten measures under three contexts, and the report pages."""
-    orders = gold.fold_case(tables["stg_orders"], settings)
-    products = gold.fold_case(tables["dim_product"], settings)
+    orders = gold.keyed(tables["stg_orders"], settings)
+    products = gold.keyed(tables["dim_product"], settings)
     sales = gold.region_month(gold.revenue_grain(orders, products))
     targets, funnel = tables["fact_targets"], tables["fact_funnel"]
     monthly, leakage = tables["fact_revenue_monthly"], tables["fact_leakage"]
@@ -135,8 +135,8 @@ def build_measures(
 def build_checks(
     tables: Mapping[str, DataFrame], settings: Settings = Settings()
 ) -> dict[str, DataFrame]:
-    orders = gold.fold_case(tables["stg_orders"], settings)
-    products = gold.fold_case(tables["dim_product"], settings)
+    orders = gold.keyed(tables["stg_orders"], settings)
+    products = gold.keyed(tables["dim_product"], settings)
     sales = gold.sales_by(orders, products, ["region"])
     return {
         "row_counts": row_counts({t: tables[t] for t in COUNTED_TABLES}),

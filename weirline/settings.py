@@ -49,9 +49,9 @@ class Settings:
     target_date_formats: tuple[str, ...] = ("yyyy-MM-dd", "yyyy/MM/dd")
     event_labels: Mapping[str, str] = field(default_factory=lambda: dict(EVENT_LABELS))
 
-    # Regions and product ids that differ in case only are one, as in a warehouse with a
-    # case-insensitive collation; off where the source is known to spell them one way.
-    fold_case: bool = True
+    # How regions and product ids compare from gold on: as in a warehouse whose collation
+    # ignores case and accents. None where the source is known to spell them one way.
+    collation: str | None = "UNICODE_CI_AI"
 
     uplift_region: str = "West"
     uplift_factor: Decimal = Decimal("1.05")

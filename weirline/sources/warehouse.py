@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from weirline.functions.numbers import nan_to_null
+from weirline.operators.collation import plain
 
 
 @dataclass(frozen=True)
@@ -76,8 +77,10 @@ class JdbcTarget:
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Columns of a target table, in its order and types; NaN becomes NULL."""
-    return df.select(*[nan_to_null(df, f.name).cast(f.dataType).alias(f.name) for f in schema])
+    """Columns of a target table, in its order and types; NaN becomes NULL, and text
+    compares as the target has it."""
+    typed = df.select(*[nan_to_null(df, f.name).cast(f.dataType).alias(f.name) for f in schema])
+    return plain(typed)
 
 
 def column_types(schema: T.StructType, text_width: int | None = None) -> str:

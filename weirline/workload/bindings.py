@@ -25,11 +25,11 @@ SETTINGS = Settings(
         "ASIA": ("Operational Gap", "Medium"),
     },
     base_price=MONEY,
-    fold_case=False,
+    collation=None,
 )
 
 # The same rules over regions in several spellings.
-MIXED_CASE = replace(SETTINGS, fold_case=True)
+MIXED_CASE = replace(SETTINGS, collation="UNICODE_CI_AI")
 
 # Other report labels for the same event types.
 RELABELLED = replace(
@@ -75,7 +75,17 @@ class Tables:
     def region(self, key: Column) -> Column:
         """The region, spelled by ``key`` where spellings are mixed."""
         region = F.col("region")
-        return _spelling(region, key).alias("region") if self._mixed_case else region
+        if not self._mixed_case:
+            return region
+        accented = F.translate(region, "A", "Á")
+        return _spelling(F.when(key % 7 == 3, accented).otherwise(region), key).alias("region")
+
+    def product(self, key: Column, spelled_by: Column | None = None) -> Column:
+        """The product's number, or a code in mixed spellings."""
+        if not self._mixed_case:
+            return key.alias("product_id")
+        code = F.concat(F.lit("Prd-"), key.cast("string"))
+        return (code if spelled_by is None else _spelling(code, spelled_by)).alias("product_id")
 
     @cached_property
     def customer_region(self) -> DataFrame:
@@ -121,7 +131,7 @@ def order_lines_raw(tables: Tables) -> DataFrame:
     return tables["lineitem"].select(
         F.col("l_orderkey").alias("order_id"),
         F.col("l_linenumber").alias(LINE),
-        F.col("l_partkey").alias("product_id"),
+        tables.product(F.col("l_partkey"), F.col("l_orderkey")),
         F.when(F.col("l_tax") != 0.08, price).alias("order_value"),
         F.when(discount != 0, discount).alias("discount_pct"),
         F.struct("l_partkey", "l_suppkey").alias(POSITION),
@@ -158,13 +168,14 @@ def products_raw(tables: Tables) -> DataFrame:
     margin = ((20 + size % 16) / 100).cast("decimal(9,6)")
     return _copies(
         tables["part"].select(
-            key.alias("product_id"),
+            tables.product(key),
+            key.alias("_number"),
             _spelling(label, key).alias("category"),
             F.col("p_retailprice").alias("base_price"),
             F.when(size % 5 != 0, margin).alias("margin_pct"),
         ),
-        F.col("product_id") % 10 == 0,
-    )
+        F.col("_number") % 10 == 0,
+    ).drop("_number")
 
 
 def customers_raw(tables: Tables) -> DataFrame:

@@ -31,8 +31,8 @@ class Frames:
     def with_settings(self, settings: Settings, mixed_case: bool = False) -> Frames:
         return Frames(self.tables.spark, self.tables.sf_dir, settings, mixed_case)
 
-    def folded(self, name: str) -> DataFrame:
-        return gold.fold_case(self.clean(name), self.settings)
+    def keyed(self, name: str) -> DataFrame:
+        return gold.keyed(self.clean(name), self.settings)
 
     def table(self, name: str) -> DataFrame:
         return self.tables[name]
@@ -45,19 +45,19 @@ class Frames:
 
     @cached_property
     def orders(self) -> DataFrame:
-        return gold.fold_case(b.clean_orders(self.tables), self.settings)
+        return gold.keyed(b.clean_orders(self.tables), self.settings)
 
     @cached_property
     def products(self) -> DataFrame:
-        return self.clean("products")
+        return self.keyed("products")
 
     @cached_property
     def targets(self) -> DataFrame:
-        return gold.fact_targets(self.folded("targets"), self.settings)
+        return gold.fact_targets(self.keyed("targets"), self.settings)
 
     @cached_property
     def funnel(self) -> DataFrame:
-        return gold.fact_funnel(self.folded("web_events"), self.settings)
+        return gold.fact_funnel(self.keyed("web_events"), self.settings)
 
     @cached_property
     def sales(self) -> DataFrame:
@@ -261,6 +261,10 @@ PLANS: dict[str, Callable[[Frames], DataFrame]] = {
     "fact_funnel_relabelled": lambda f: f.with_settings(b.RELABELLED).funnel,
     "fact_funnel_mixed_case": lambda f: f.with_settings(b.MIXED_CASE, mixed_case=True).funnel,
     "fact_leakage_mixed_case": lambda f: f.with_settings(b.MIXED_CASE, mixed_case=True).leakage,
+    "fact_revenue_mixed_case": lambda f: gold.fact_revenue(
+        f.with_settings(b.MIXED_CASE, mixed_case=True).orders,
+        f.with_settings(b.MIXED_CASE, mixed_case=True).products,
+    ),
     "fact_targets": lambda f: f.targets,
     "fact_revenue_monthly": lambda f: f.monthly,
     "fact_leakage": lambda f: f.leakage,
