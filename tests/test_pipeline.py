@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from helpers import one, rows
 from sample import write_raw
+from weirline.operators import audit
 from weirline.plans import gold, marts, measures, silver
 from weirline.plans.pipeline import COUNTED_TABLES, SILVER_TABLES, read_extracts, run
 from weirline.session import sizing
@@ -57,14 +58,35 @@ def test_counts_without_tables_agree(built):
 def test_audit_agrees_with_cleaning(spark, built):
     raw_dir, _, _, b = built
     raw = read_extracts(spark, raw_dir)
-    audit = {r.table_name: r for r in silver.etl_audit(raw).collect()}
+    counted = {r.table_name: r for r in silver.etl_audit(raw).collect()}
     for entity, table in SILVER_TABLES.items():
-        assert audit[entity].final_rows == b.tables[table].count(), entity
-        assert audit[entity].raw_rows == raw[entity].count()
-    orders = audit["orders"]
+        assert counted[entity].final_rows == b.tables[table].count(), entity
+        assert counted[entity].raw_rows == raw[entity].count()
+    orders = counted["orders"]
     assert (orders.duplicates_removed, orders.rejected_rows) == (2, 2)
 
 
+def test_one_pass_over_the_extracts(spark, tmp_path, monkeypatch):
+    """The audit comes out of the writes; order lines are grouped once."""
+    raw_dir = write_raw(tmp_path)
+    want = rows(silver.etl_audit(read_extracts(spark, raw_dir)))
+    read, grouped = [], []
+    first, grain = audit.keep_first, gold.sales_by
+    monkeypatch.setattr(audit, "keep_first", lambda df, *a, **k: read.append(df) or first(df, *a, **k))
+    monkeypatch.setattr(gold, "sales_by", lambda *a: grouped.append(a) or grain(*a))
+    monkeypatch.setattr(silver, "etl_audit", None)
+    b = run(spark, raw_dir, Warehouse(spark, str(tmp_path / "wh")))
+    assert rows(b.checks["etl_audit"]) == want
+    assert len(read) == 4 and len(grouped) == 1
+
+
+def test_audit_of_empty_extracts(spark):
+    passing = audit.PassingRows("orders")
+    empty = spark.createDataFrame([], "order_id string, order_value double, discount_pct double")
+    assert passing.final(silver.clean_order_lines(empty, passing=passing)).collect() == []
+    assert passing.row() == ("orders", 0, 0, 0, 0)
+
+
 def test_views_are_queryable(spark, built):
     *_, b = built
     for name in b.views:

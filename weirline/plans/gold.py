@@ -70,7 +70,12 @@ def revenue_grain(orders: DataFrame, products: DataFrame) -> DataFrame:
 
 def fact_revenue(orders: DataFrame, products: DataFrame) -> DataFrame:
     """Day x region x customer x product."""
-    return revenue_grain(orders, products).select(
+    return revenue_facts(revenue_grain(orders, products))
+
+
+def revenue_facts(grain: DataFrame) -> DataFrame:
+    """The columns of the revenue fact, from ``revenue_grain`` rows."""
+    return grain.select(
         "date",
         "region",
         "customer_id",
@@ -122,17 +127,6 @@ def region_month(grain: DataFrame) -> DataFrame:
     )
 
 
-def sales_from_facts(revenue: DataFrame) -> DataFrame:
-    """Month x region sums of the written revenue fact, for targets and shortfall."""
-    return group_agg(
-        revenue,
-        [month_start(F.col("date")).alias("month"), "region"],
-        F.sum("revenue").alias("revenue"),
-        F.count("avg_discount").alias("grains"),
-        F.sum("avg_discount").alias("avg_discount_sum"),
-    )
-
-
 def product_month(orders: DataFrame, products: DataFrame) -> DataFrame:
     """Month x region x product sums, for reports that need no customer grain."""
     return sales_by(

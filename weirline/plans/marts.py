@@ -126,6 +126,16 @@ def margin_and_discount(sales: DataFrame, by: str) -> DataFrame:
     )
 
 
+def margin_from_rollup(sales: DataFrame, by: str) -> DataFrame:
+    """``margin_and_discount`` from rows with additive line sums (``region_month``)."""
+    return group_agg(
+        sales,
+        [by],
+        percent(F.sum("margin_sum"), F.sum("margin_lines")).alias("avg_margin_pct"),
+        percent(F.sum("discount_sum"), F.sum("lines")).alias("avg_discount_pct"),
+    ).orderBy(by)
+
+
 def warehouse_row_counts(
     customers: DataFrame,
     products: DataFrame,

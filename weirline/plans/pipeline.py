@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from weirline.operators.audit import quality_report, row_counts
+from weirline.operators.audit import PassingRows, observed_audit, quality_report, row_counts
 from weirline.plans import gold, marts, measures, silver
 from weirline.settings import Settings
 from weirline.sources.files import read_raw, write_csv
@@ -57,22 +57,26 @@ def build_silver(
     warehouse: Warehouse,
     settings: Settings = Settings(),
     clean_csv_dir: str | None = None,
-) -> dict[str, DataFrame]:
-    """Clean and write the five tables; the CSV copies are made from the tables."""
-    tables = {}
+) -> tuple[dict[str, DataFrame], list[PassingRows]]:
+    """Clean and write the five tables, each in one pass that counts its rows too; the
+    CSV copies are made from the tables."""
+    tables, passed = {}, []
     for entity, clean in silver.CLEANERS.items():
-        name = SILVER_TABLES[entity]
-        tables[name] = warehouse.write(clean(raw[entity], settings), name)
+        name, passing = SILVER_TABLES[entity], PassingRows(entity)
+        cleaned = clean(raw[entity], settings, passing)
+        tables[name] = warehouse.write(passing.final(cleaned), name)
+        passed.append(passing)
         if clean_csv_dir is not None:
             write_csv(tables[name], f"{clean_csv_dir}/{entity}_clean.csv")
-    return tables
+    return tables, passed
 
 
 def build_gold(
     tables: Mapping[str, DataFrame], warehouse: Warehouse, settings: Settings = Settings()
 ) -> dict[str, DataFrame]:
-    """Facts and dimensions. The wide facts are written once and never recomputed:
-    month and region reports read a rollup that is itself a small written table."""
+    """Facts and dimensions. Order lines are grouped once, into ``agg_revenue``; the revenue
+    fact is a part of its columns, and all reports by month and region, KPIs and checks
+    included, read the small ``agg_sales`` that is rolled up from it."""
     out = dict(tables)
 
     def write(name: str, df: DataFrame) -> DataFrame:
@@ -85,11 +89,12 @@ def build_gold(
     planned = gold.keyed(tables["stg_targets"], settings)
     write("dim_date", gold.dim_date(orders))
     write("dim_region", gold.dim_region(orders))
-    write("fact_revenue", gold.fact_revenue(orders, products))
+    grain = write("agg_revenue", gold.revenue_grain(orders, products))
+    write("fact_revenue", gold.revenue_facts(grain))
     write("fact_revenue_enriched", gold.fact_revenue_enriched(orders, products))
     write("fact_funnel", gold.fact_funnel(events, settings))
     targets = write("fact_targets", gold.fact_targets(planned, settings))
-    sales = write("agg_sales", gold.sales_from_facts(out["fact_revenue"]))
+    sales = write("agg_sales", gold.region_month(grain))
     write("fact_revenue_monthly", gold.fact_revenue_monthly(sales, targets))
     leakage = write("fact_leakage", gold.fact_leakage(sales, targets, settings))
     write("fact_recovery", gold.fact_recovery(leakage, settings))
@@ -113,9 +118,7 @@ def build_measures(
     tables: Mapping[str, DataFrame], settings: Settings = Settings()
 ) -> dict[str, DataFrame]:
     """The ten measures under three contexts, and the report pages."""
-    orders = gold.keyed(tables["stg_orders"], settings)
-    products = gold.keyed(tables["dim_product"], settings)
-    sales = gold.region_month(gold.revenue_grain(orders, products))
+    sales = tables["agg_sales"]
     targets, funnel = tables["fact_targets"], tables["fact_funnel"]
     monthly, leakage = tables["fact_revenue_monthly"], tables["fact_leakage"]
     return {
@@ -135,14 +138,11 @@ def build_measures(
 def build_checks(
     tables: Mapping[str, DataFrame], settings: Settings = Settings()
 ) -> dict[str, DataFrame]:
-    orders = gold.keyed(tables["stg_orders"], settings)
-    products = gold.keyed(tables["dim_product"], settings)
-    sales = gold.sales_by(orders, products, ["region"])
     return {
         "row_counts": row_counts({t: tables[t] for t in COUNTED_TABLES}),
         "leakage_sign": marts.validate_leakage_sign(tables["fact_leakage"]),
         "funnel": marts.validate_funnel(tables["fact_funnel"]),
-        "margin": marts.margin_and_discount(sales, "region"),
+        "margin": marts.margin_from_rollup(tables["agg_sales"], "region"),
     }
 
 
@@ -160,8 +160,8 @@ def run(
     before the funnel is built (truncate and reload). ``multi_line`` allows line breaks
     inside quoted fields of the extracts. Every table is copied to ``database``, if given."""
     raw = read_extracts(spark, raw_dir, multi_line)
-    audit = warehouse.write(silver.etl_audit(raw, settings), "etl_audit")
-    tables = build_silver(raw, warehouse, settings, clean_csv_dir)
+    tables, passed = build_silver(raw, warehouse, settings, clean_csv_dir)
+    audit = warehouse.write(observed_audit(spark, passed), "etl_audit")
     cleaned = {entity: tables[name] for entity, name in SILVER_TABLES.items()}
     quality = warehouse.write(quality_report(cleaned), "quality_report")
     if replacement_events is not None:

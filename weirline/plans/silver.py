@@ -1,7 +1,7 @@
 """The five cleaning jobs: raw extract -> typed, deduplicated table.
 
 Input columns may be text (CSV bronze) or already typed (Parquet sources); a
-typed date is not printed and parsed again.
+typed date is not printed and parsed again. ``passing`` counts the rows of a job.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from weirline.functions.dates import cohort_month, parse_mixed, parse_strict
 from weirline.functions.numbers import nan_to_null, to_count
 from weirline.functions.text import canonical_label, strip_title, strip_upper
-from weirline.operators.audit import audit_keyed, audit_rows, union_all
+from weirline.operators.audit import PassingRows, audit_keyed, audit_rows, union_all
 from weirline.operators.median import fill_median
 from weirline.operators.rows import drop_null_rows, fill_constant, keep_at_most, keep_first
 from weirline.settings import Settings
@@ -38,8 +38,12 @@ def _order_by(raw: DataFrame) -> list[str]:
     return [POSITION] if POSITION in raw.columns else []
 
 
-def _first_rows(raw: DataFrame, keys: list[str]) -> DataFrame:
-    return keep_first(raw, keys, _order_by(raw)).drop(POSITION)
+def _first_rows(
+    raw: DataFrame, keys: list[str], passing: PassingRows | None = None
+) -> DataFrame:
+    order = _order_by(raw)
+    firsts = passing.first_rows(raw, keys, order) if passing else keep_first(raw, keys, order)
+    return firsts.drop(POSITION)
 
 
 def _date(df: DataFrame, name: str, parse: Callable[[Column], Column]) -> Column:
@@ -52,8 +56,10 @@ def _numeric(df: DataFrame, name: str, dtype: T.DataType) -> Column:
     return nan_to_null(df, name).cast(dtype)
 
 
-def clean_customers(raw: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    df = _first_rows(raw, KEYS["customers"])
+def clean_customers(
+    raw: DataFrame, settings: Settings = Settings(), passing: PassingRows | None = None
+) -> DataFrame:
+    df = _first_rows(raw, KEYS["customers"], passing)
     df = df.withColumns(
         {"segment": strip_upper(F.col("segment")), "signup_date": _date(df, "signup_date", parse_strict)}
     )
@@ -61,8 +67,10 @@ def clean_customers(raw: DataFrame, settings: Settings = Settings()) -> DataFram
     return df.withColumn("cohort_month", cohort_month(F.col("signup_date")))
 
 
-def clean_products(raw: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    df = _first_rows(raw, KEYS["products"])
+def clean_products(
+    raw: DataFrame, settings: Settings = Settings(), passing: PassingRows | None = None
+) -> DataFrame:
+    df = _first_rows(raw, KEYS["products"], passing)
     df = df.withColumns(
         {
             "category": strip_title(F.col("category")),
@@ -73,14 +81,16 @@ def clean_products(raw: DataFrame, settings: Settings = Settings()) -> DataFrame
     return fill_median(df, "margin_pct")
 
 
-def clean_order_lines(raw: DataFrame, settings: Settings = Settings()) -> DataFrame:
+def clean_order_lines(
+    raw: DataFrame, settings: Settings = Settings(), passing: PassingRows | None = None
+) -> DataFrame:
     """The order rules that need only key, value and discount.
 
     Deduplicate before any cut: an order whose first copy has no value goes,
     even if a later copy has one. Sources that keep date, buyer or region in
     other tables clean their lines with this first and join the survivors.
     """
-    df = _first_rows(raw, order_keys(raw))
+    df = _first_rows(raw, order_keys(raw), passing)
     df = df.withColumn("order_value", nan_to_null(df, "order_value"))
     df = drop_null_rows(df, ["order_value"])
     # The cut sees the value as given; only then is it brought to its scale.
@@ -95,14 +105,19 @@ def clean_order_lines(raw: DataFrame, settings: Settings = Settings()) -> DataFr
     return fill_constant(df, {"discount_pct": 0})
 
 
-def clean_orders(raw: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    df = clean_order_lines(raw, settings)
+def clean_orders(
+    raw: DataFrame, settings: Settings = Settings(), passing: PassingRows | None = None
+) -> DataFrame:
+    df = clean_order_lines(raw, settings, passing)
     return df.withColumn("order_date", _date(df, "order_date", parse_strict))
 
 
-def clean_web_events(raw: DataFrame, settings: Settings = Settings()) -> DataFrame:
+def clean_web_events(
+    raw: DataFrame, settings: Settings = Settings(), passing: PassingRows | None = None
+) -> DataFrame:
     """No key, so no deduplication."""
-    df = raw.drop(POSITION)
+    df = passing.all_rows(raw) if passing else raw
+    df = df.drop(POSITION)
     df = df.withColumn("count", nan_to_null(df, "count"))
     df = drop_null_rows(df, ["count"])
     df = df.withColumns(
@@ -116,9 +131,11 @@ def _dated_targets(raw: DataFrame, settings: Settings) -> DataFrame:
     return raw.withColumn("month", month)
 
 
-def clean_targets(raw: DataFrame, settings: Settings = Settings()) -> DataFrame:
+def clean_targets(
+    raw: DataFrame, settings: Settings = Settings(), passing: PassingRows | None = None
+) -> DataFrame:
     """The month is parsed before deduplication: two spellings are one key."""
-    df = _first_rows(_dated_targets(raw, settings), KEYS["targets"])
+    df = _first_rows(_dated_targets(raw, settings), KEYS["targets"], passing)
     return df.withColumn(
         "target_revenue", _numeric(df, "target_revenue", settings.money)
     )
