@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weirline.functions.numbers import mean, percent, round_ratio
-from weirline.operators.collation import group_agg
+from weirline.operators.collation import BINARY, collation_of, group_agg
 from weirline.plans import gold
 from weirline.settings import RECOVERY_SCENARIO, Settings
 
@@ -137,6 +137,102 @@ def kpi_by_region_month(sales: DataFrame, targets: DataFrame, funnel: DataFrame)
     return sales_kpis.join(web_kpis, ["month", "region"], "full")
 
 
+CONTEXTS = ("total", "region", "month", "category", "quarter")
+
+
+def _context_rows(
+    sales: DataFrame, targets: DataFrame, funnel: DataFrame, settings: Settings
+) -> DataFrame:
+    """Rows whose plain sums are the measures of any context.
+
+    Sums per month, region and category; what is defined per cell (target, variance,
+    achievement) or per region (shortfall, recovery) stands in the first row of its cell
+    or region only, and web rates are rows of their own."""
+    margin = F.col("margin_pct")
+    parts = group_agg(
+        sales,
+        ["month", "region", "category"],
+        F.sum("revenue").alias("actual_revenue"),
+        F.sum("lines").alias("lines"),
+        F.sum("discount_sum").alias("discount_sum"),
+        F.sum(margin * F.col("lines")).alias("margin_sum"),
+        F.sum(F.when(margin.isNotNull(), F.col("lines"))).alias("margin_lines"),
+    )
+    cell, region = Window.partitionBy("month", "region"), Window.partitionBy("region")
+    parts = parts.withColumns(
+        {
+            "_cell_revenue": F.sum("actual_revenue").over(cell),
+            "_in_cell": F.row_number().over(cell.orderBy("category")),
+            "_region_revenue": F.sum("actual_revenue").over(region),
+            "_in_region": F.row_number().over(region.orderBy("month", "category")),
+        }
+    )
+    known = targets.select("month", "region", F.col("target_revenue").alias("_target"))
+    parts = parts.join(known, ["month", "region"], "left").join(
+        gold.region_targets(targets), "region", "left"
+    )
+    first = F.col("_in_cell") == 1
+    revenue, target = F.col("_cell_revenue"), F.when(first, F.col("_target"))
+    gap = gold.leakage_amount(F.col("_region_revenue"), F.col("target_total"))
+    parts = parts.withColumns(
+        {
+            "target_revenue": target,
+            "variance": revenue - target,
+            "achievement_pct": round_ratio(revenue, target, 2),
+            "leakage_amount": F.when(F.col("_in_region") == 1, gap),
+        }
+    )
+    parts = parts.select("*", *gold.recovery_columns(settings))
+    visits = funnel.select(F.trunc("date", "MM").alias("month"), "region", "conversion_rate")
+    return parts.unionByName(visits, allowMissingColumns=True).withColumn(
+        "quarter", F.quarter("month").cast("string")
+    )
+
+
+def kpi_contexts(
+    sales: DataFrame, targets: DataFrame, funnel: DataFrame, settings: Settings = Settings()
+) -> DataFrame:
+    """All measures in all of ``CONTEXTS``, in one aggregation over grouping sets.
+
+    ``sales`` are sums with month, region, category and ``margin_pct`` (``product_month``);
+    they are computed once, whatever the number of contexts. Shortfall and recovery have
+    no month, targets and web rates no category: there these measures are NULL."""
+    rows = _context_rows(sales, targets, funnel, settings)
+    keys = list(CONTEXTS[1:])
+    named = rows.select(*keys).schema
+    spelled = [f.name for f in named if collation_of(f.dataType)]
+    sets = [[], *[[F.col(k)] for k in keys]]
+    grouped = rows.groupingSets(sets, *[F.col(k) for k in keys]).agg(
+        F.grouping_id().alias("_set"),
+        *executive_measures(),
+        *rate_measures(),
+        *recovery_measures(),
+        *funnel_measures(),
+        F.count("lines").alias("_parts"),
+        *[F.min(F.collate(k, BINARY)).alias(f"_spelling_{k}") for k in spelled],
+    )
+    # The id has a bit per key, the first key's the highest, set where the key is not in use.
+    every = (1 << len(keys)) - 1
+    context = F.lit(CONTEXTS[0])
+    for place, key in enumerate(keys):
+        one = every ^ (1 << (len(keys) - 1 - place))
+        context = F.when(F.col("_set") == one, key).otherwise(context)
+    by_category, total = context == "category", F.col("_set") == every
+    hidden = {c: ~by_category for c in ("total_target", "revenue_variance", "avg_achievement_pct")}
+    hidden |= {c: ~by_category for c in ("revenue_gap_pct", "avg_conversion_rate")}
+    hidden |= {c: total | (context == "region") for c in ("total_leakage", "recovery_potential")}
+    shown = [
+        F.when(hidden[c], F.col(c)).alias(c) if c in hidden else F.col(c) for c in KPI_COLUMNS
+    ]
+    chosen = [
+        F.when(context == k, F.col(f"_spelling_{k}")).alias(k) if k in spelled else F.col(k)
+        for k in keys
+    ]
+    return grouped.where(~by_category | (F.col("_parts") > 0)).select(
+        context.alias("context"), *chosen, *shown
+    )
+
+
 # -- page queries -----------------------------------------------------------
 
 

@@ -6,7 +6,9 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from weirline.functions.dates import month_start
 from weirline.operators.audit import PassingRows, observed_audit, quality_report, row_counts
 from weirline.plans import gold, marts, measures, silver
 from weirline.settings import Settings
@@ -117,12 +119,16 @@ def build_views(
 def build_measures(
     tables: Mapping[str, DataFrame], settings: Settings = Settings()
 ) -> dict[str, DataFrame]:
-    """The ten measures under three contexts, and the report pages."""
+    """The ten measures under their contexts, and the report pages."""
     sales = tables["agg_sales"]
     targets, funnel = tables["fact_targets"], tables["fact_funnel"]
     monthly, leakage = tables["fact_revenue_monthly"], tables["fact_leakage"]
     return {
         "kpi_measures": measures.kpi_measures(sales, targets, funnel, settings),
+        "kpi_contexts": measures.kpi_contexts(
+            tables["agg_revenue"].withColumn("month", month_start(F.col("date"))),
+            targets, funnel, settings,
+        ),
         "kpi_by_region": measures.kpi_by_region(sales, targets, funnel, settings),
         "kpi_by_region_month": measures.kpi_by_region_month(sales, targets, funnel),
         "achievement_by_quarter": measures.achievement_by_quarter(monthly),

@@ -284,6 +284,9 @@ PLANS: dict[str, Callable[[Frames], DataFrame]] = {
         f.sales, f.targets, f.funnel, f.settings
     ),
     "kpi_by_region_month": lambda f: measures.kpi_by_region_month(f.sales, f.targets, f.funnel),
+    "kpi_contexts": lambda f: measures.kpi_contexts(
+        f.product_sales, f.targets, f.funnel, f.settings
+    ),
     "achievement_by_quarter": lambda f: measures.achievement_by_quarter(f.monthly),
     "region_actual_vs_target": lambda f: measures.region_actual_vs_target(f.monthly),
     "leakage_share_by_type": lambda f: measures.leakage_share_by_type(f.leakage),
