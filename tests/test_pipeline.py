@@ -136,6 +136,45 @@ def test_replacement_events(spark, built, tmp_path):
     assert b.checks["quality_report"].where("table_name = 'web_events'").first().row_count == 8
 
 
+def test_a_failed_run_leaves_the_old_tables(spark, tmp_path, monkeypatch):
+    (tmp_path / "raw").mkdir()
+    raw_dir, w = write_raw(tmp_path / "raw"), Warehouse(spark, str(tmp_path / "wh"))
+    run(spark, raw_dir, w)
+    before = {n: rows(w.read(n)) for n in ("stg_orders", "dim_region", "fact_leakage")}
+    (first,) = w.complete_versions()
+
+    extract = Path(raw_dir, "orders_raw.csv")
+    extract.write_text(extract.read_text() + "O9999,2024-01-09,C0001,P101,Nowhere,7,0.1\n")
+    with monkeypatch.context() as m:
+        m.setattr(gold, "fact_leakage", lambda *a: spark.range(1).selectExpr("raise_error('lost')"))
+        with pytest.raises(Exception, match="lost"):
+            run(spark, raw_dir, w)
+    assert len(os.listdir(tmp_path / "wh" / "versions")) == 2 and w.complete_versions() == [first]
+    assert {n: rows(w.read(n)) for n in before} == before
+
+    run(spark, raw_dir, w)
+    assert w.complete_versions()[0] == first and len(w.complete_versions()) == 2
+    assert "Nowhere" in {r.region for r in w.read("dim_region").collect()}
+    assert "O9999" in {r.order_id for r in w.read("stg_orders").collect()}
+    assert len(w.expire(keep=1)) == 2 and len(w.complete_versions()) == 1
+    assert w.write(w.read("dim_region").limit(1), "dim_region").count() == 1
+
+
+def test_views_equal_the_frames(built):
+    *_, b = built
+    t = b.tables
+    want = {
+        "vw_executive_summary": marts.executive_summary(t["fact_revenue_monthly"], t["fact_leakage"]),
+        "vw_leakage_radar": marts.leakage_radar(t["fact_leakage"]),
+        "vw_funnel_analysis": marts.funnel_analysis(t["fact_funnel"]),
+        "vw_recovery_scenarios": marts.recovery_scenarios(t["fact_recovery"]),
+    }
+    assert want.keys() == b.views.keys()
+    for name, df in want.items():
+        assert b.views[name].columns == df.columns
+        assert rows(b.views[name]) == rows(df), name
+
+
 def test_partitioned_table(spark, tmp_path):
     w = Warehouse(spark, str(tmp_path))
     df = spark.range(1000).select("id", (F.col("id") % 3).alias("k"))

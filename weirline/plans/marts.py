@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -78,6 +80,36 @@ def recovery_scenarios(recovery: DataFrame, settings: Settings = Settings()) ->
     )
 
 
+def _ratio_text(a: str, b: str, places: int) -> str:
+    """``round_ratio`` of two whole numbers as SQL text."""
+    whole = f"CAST(abs({a}) div abs({b}) AS DECIMAL(19,0))"
+    part = f"CAST(abs({a}) % abs({b}) AS DECIMAL(20,0)) * {2 * 10**places} + abs({b})"
+    digits = f"CAST(({part}) div (CAST(abs({b}) AS DECIMAL(20,0)) * 2) AS DECIMAL({places + 2},0))"
+    step = f"{Decimal(1).scaleb(-places):f}"
+    return (
+        f"CASE WHEN {b} = 0 THEN NULL WHEN ({a} < 0) != ({b} < 0) "
+        f"THEN -({whole} + {digits} * {step}) ELSE {whole} + {digits} * {step} END"
+    )
+
+
+def view_queries(settings: Settings = Settings()) -> dict[str, str]:
+    """The report views as SQL over the facts, whose names are in braces."""
+    monthly = ", ".join(f"m.{c}" for c in gold.MONTHLY_COLUMNS)
+    scenarios = ", ".join(f"{name}_recovery" for name in settings.scenarios)
+    return {
+        "vw_executive_summary": f"SELECT {monthly}, l.leakage_amount, l.leakage_type, l.risk_level "
+        "FROM {fact_revenue_monthly} m LEFT JOIN {fact_leakage} l ON m.region = l.region",
+        "vw_leakage_radar": "SELECT region, actual_revenue, target_revenue, revenue_gap, "
+        "leakage_amount, leakage_type, risk_level, avg_conversion_rate, avg_discount "
+        "FROM {fact_leakage}",
+        "vw_funnel_analysis": "SELECT date, region, visits, add_to_cart, purchases, conversion_rate, "
+        f"{_ratio_text('add_to_cart', 'visits', 4)} AS cart_rate, "
+        f"{_ratio_text('purchases', 'add_to_cart', 4)} AS checkout_rate FROM {{fact_funnel}}",
+        "vw_recovery_scenarios": f"SELECT region, leakage_amount, {scenarios}, leakage_type, "
+        "risk_level FROM {fact_recovery}",
+    }
+
+
 # -- validation -------------------------------------------------------------
 
 

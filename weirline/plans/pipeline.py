@@ -14,7 +14,7 @@ from weirline.plans import gold, marts, measures, silver
 from weirline.settings import Settings
 from weirline.sources.files import read_raw, write_csv
 from weirline.sources.schemas import RAW_COLUMNS
-from weirline.sources.warehouse import JdbcTarget, Warehouse, register_views, write_jdbc
+from weirline.sources.warehouse import JdbcTarget, Warehouse, build_views, write_jdbc
 
 SILVER_TABLES = {
     "customers": "dim_customer",
@@ -103,19 +103,6 @@ def build_gold(
     return out
 
 
-def build_views(
-    tables: Mapping[str, DataFrame], settings: Settings = Settings()
-) -> dict[str, DataFrame]:
-    return {
-        "vw_executive_summary": marts.executive_summary(
-            tables["fact_revenue_monthly"], tables["fact_leakage"]
-        ),
-        "vw_leakage_radar": marts.leakage_radar(tables["fact_leakage"]),
-        "vw_funnel_analysis": marts.funnel_analysis(tables["fact_funnel"]),
-        "vw_recovery_scenarios": marts.recovery_scenarios(tables["fact_recovery"], settings),
-    }
-
-
 def build_measures(
     tables: Mapping[str, DataFrame], settings: Settings = Settings()
 ) -> dict[str, DataFrame]:
@@ -162,23 +149,23 @@ def run(
     multi_line: bool = False,
     database: JdbcTarget | None = None,
 ) -> Built:
-    """Full refresh. ``replacement_events`` takes the place of the cleaned events
+    """Full refresh, all or nothing under a warehouse folder. ``replacement_events`` takes the place of the cleaned events
     before the funnel is built (truncate and reload). ``multi_line`` allows line breaks
     inside quoted fields of the extracts. Every table is copied to ``database``, if given."""
     raw = read_extracts(spark, raw_dir, multi_line)
-    tables, passed = build_silver(raw, warehouse, settings, clean_csv_dir)
-    audit = warehouse.write(observed_audit(spark, passed), "etl_audit")
-    cleaned = {entity: tables[name] for entity, name in SILVER_TABLES.items()}
-    quality = warehouse.write(quality_report(cleaned), "quality_report")
-    if replacement_events is not None:
-        tables["stg_web_events"] = warehouse.write(replacement_events, "stg_web_events")
-    tables = build_gold(tables, warehouse, settings)
-    views = build_views(tables, settings)
-    register_views(views, warehouse)
+    with warehouse.refresh() as fresh:
+        tables, passed = build_silver(raw, fresh, settings, clean_csv_dir)
+        audit = fresh.write(observed_audit(spark, passed), "etl_audit")
+        cleaned = {entity: tables[name] for entity, name in SILVER_TABLES.items()}
+        quality = fresh.write(quality_report(cleaned), "quality_report")
+        if replacement_events is not None:
+            tables["stg_web_events"] = fresh.write(replacement_events, "stg_web_events")
+        tables = build_gold(tables, fresh, settings)
+        results = {
+            name: fresh.write(df, name) for name, df in build_measures(tables, settings).items()
+        }
+    views = build_views(marts.view_queries(settings), tables, warehouse)
     checks = {**build_checks(tables, settings), "quality_report": quality, "etl_audit": audit}
-    results = {
-        name: warehouse.write(df, name) for name, df in build_measures(tables, settings).items()
-    }
     if database is not None:
         for name, df in tables.items():
             write_jdbc(df, database.url, name, database.properties, settings.text_width)
