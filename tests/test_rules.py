@@ -150,7 +150,7 @@ def test_views_outlive_the_session(spark, tmp_path):
         assert other.sql("SELECT * FROM weirline_v.vw_executive_summary").count() > 2
         # A new session's view shows the fact as it is now.
         w, leakage = Warehouse(spark, database="weirline_v"), other.table("weirline_v.fact_leakage")
-        changed = leakage.withColumn("leakage_amount", F.lit(D("7.25"))).limit(1).toPandas()
+        changed = leakage.withColumn("leakage_amount", F.lit(D("7.25"))).where("region = 'North'").toPandas()
         w.write(spark.createDataFrame(changed, leakage.schema), "fact_leakage")
         radar = spark.newSession().sql("SELECT * FROM weirline_v.vw_leakage_radar").collect()
         assert [r.leakage_amount for r in radar] == [D("7.25")]
