@@ -106,3 +106,14 @@ def test_crc_is_over_little_endian_ids(spark):
         "ids", F.crc32("ids").alias("crc")
     ).first()
     assert row.crc == zlib.crc32(row.ids)
+
+
+def test_clashing_names(spark):
+    names = ("bucket", "place", "first", "slot", "n", "sequence_id", "offset")
+    pieces = spark.createDataFrame([(i, 0, 1 + i % 5) for i in range(40)], "doc_id long, piece int, length long")
+    plain = packing.pack(pieces, 8).collect()
+    clashing = packing.pack(pieces.withColumns({c: F.lit("mine") for c in names}), 8)
+    kept = ["doc_id", "sequence_id", "offset"]
+    assert clashing.columns == ["doc_id", "piece", "length", *names[:5], "sequence_id", "offset"]
+    assert {r.bucket + r.place + r.first + r.slot for r in clashing.select(*names[:4]).collect()} == {"mine" * 4}
+    assert sorted(clashing.select(*kept).collect()) == sorted(tuple(r[c] for c in kept) for r in plain)

@@ -136,3 +136,11 @@ def test_whole_table(spark):
     for row in want([d.text for d in docs], 200):
         r = found[docs[row[0]].doc_id]
         assert (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) == row[1:]
+
+
+def test_nothing_stays_in_the_catalog(spark):
+    before = {t.name for t in spark.catalog.listTables()}
+    passage = "".join(f"word{i} " for i in range(60))
+    found = suffix.removed_bytes(documents(spark, [f"a {passage}", f"b {passage} c", "short"])).collect()
+    assert sum(r.n_removed > 0 for r in found) == 2
+    assert {t.name for t in spark.catalog.listTables()} == before

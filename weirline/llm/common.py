@@ -6,6 +6,7 @@ import contextlib
 import ctypes
 import functools
 import gc
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator, Sequence
@@ -28,10 +29,13 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the cluster shares, from ``spark.checkpoint.dir``.
 
-    Only where that is unset (tests on one machine) a temporary folder is made."""
+    Only where that is unset and all tasks run in this process (tests on one machine) a
+    temporary folder is made."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext
     if not named and not context.getCheckpointDir():
+        if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+            raise RuntimeError("spark.checkpoint.dir has to name a folder that the cluster shares")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="weirline-"))
     return named or context.getCheckpointDir()
 
@@ -78,7 +82,8 @@ def small_batches(spark: SparkSession) -> Iterator[None]:
 
 def bucketed(df: DataFrame, name: str, keys: Sequence[str]) -> DataFrame:
     """Like ``stored``, dealt out by ``keys`` so that joins on them leave it in place.
-    There are as many buckets as shuffle partitions."""
+    There are as many buckets as shuffle partitions. The files stay as those of ``stored``
+    do, and nothing stays in the catalog."""
     spark = df.sparkSession
     table_name = f"{name.replace('-', '_')}_{uuid.uuid4().hex}"
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -88,7 +93,10 @@ def bucketed(df: DataFrame, name: str, keys: Sequence[str]) -> DataFrame:
         .option("path", f"{shared_dir(spark).rstrip('/')}/{table_name}")
         .saveAsTable(table_name)
     )
-    return spark.table(table_name)
+    found = spark.table(table_name)
+    # The plan has the files and their buckets; the catalog entry is not needed any more.
+    spark.sql(f"DROP TABLE {table_name}")
+    return found
 
 
 def freeing(task: Callable) -> Callable:

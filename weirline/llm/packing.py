@@ -32,6 +32,7 @@ from weirline.llm.tokens import WORD_BYTES, ChunkEncoder, spelled
 
 ROWS_PER_BUCKET = 200_000
 PIECE_BATCH = 1000
+BUCKET, PLACE, FIRST, SLOT = "pack bucket", "pack place", "pack first", "pack slot"
 
 
 def _encoder(path: str) -> ChunkEncoder:
@@ -212,18 +213,20 @@ def pack(pieces: DataFrame, capacity: int = 2048) -> DataFrame:
     slots = plan(histogram)
     buckets = 1 + int(histogram.sum()) // ROWS_PER_BUCKET
 
+    # Names that no input column has; the result's own two columns replace an input's.
+    pieces = pieces.drop("sequence_id", "offset")
     bucket = F.pmod(F.xxhash64("doc_id", "piece"), F.lit(buckets))
-    rows = pieces.withColumn("bucket", bucket)
-    sizes = rows.groupBy("length", "bucket").agg(F.count(F.lit(1)).alias("n"))
-    before = Window.partitionBy("length").orderBy("bucket").rowsBetween(
+    rows = pieces.withColumn(BUCKET, bucket)
+    sizes = rows.groupBy("length", BUCKET).agg(F.count(F.lit(1)).alias("n"))
+    before = Window.partitionBy("length").orderBy(BUCKET).rowsBetween(
         Window.unboundedPreceding, -1
     )
     first = sizes.select(
-        "length", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first")
+        "length", BUCKET, F.coalesce(F.sum("n").over(before), F.lit(0)).alias(FIRST)
     )
-    inside = Window.partitionBy("length", "bucket").orderBy("doc_id", "piece")
-    ranked = rows.withColumn("place", F.row_number().over(inside) - 1).join(
-        first, ["length", "bucket"]
+    inside = Window.partitionBy("length", BUCKET).orderBy("doc_id", "piece")
+    ranked = rows.withColumn(PLACE, F.row_number().over(inside) - 1).join(
+        first, ["length", BUCKET]
     )
 
     keys = (slots["length"].to_numpy() << 40) + slots["lo"].to_numpy()
@@ -236,5 +239,5 @@ def pack(pieces: DataFrame, capacity: int = 2048) -> DataFrame:
             {"sequence_id": base[at] + rank.to_numpy() - lo[at], "offset": offset[at]}
         )
 
-    placed = ranked.withColumn("slot", slot("length", F.col("first") + F.col("place")))
-    return placed.select(*pieces.columns, "slot.sequence_id", "slot.offset")
+    placed = ranked.withColumn(SLOT, slot("length", F.col(FIRST) + F.col(PLACE)))
+    return placed.select(*pieces.columns, f"`{SLOT}`.sequence_id", f"`{SLOT}`.offset")
