@@ -372,7 +372,8 @@ def _marks(docs: DataFrame, text_col: str, settings: Settings) -> tuple[DataFram
     """The texts, and per text the runs of repeated windows: ``h1, h2, runs``."""
     texts = bucketed(_texts(docs, text_col, settings), "suffix-texts", TEXT)
     anchors = stored(_anchor_rows(texts, settings), "suffix-anchors")
-    often = anchors.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    # Cut, so that the join has nothing but its own shuffles below and Spark splits hot keys.
+    often = cut(anchors.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
     shared = cut(anchors.join(often, "key"))
 
     def with_text(rows: DataFrame) -> DataFrame:
