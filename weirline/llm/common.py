@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 FOLDS = 5
 ROW_GROUP = 16 << 20  # bytes
 ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
-BATCH_BYTES = 8 << 20  # of rows that travel to Python at a time
+BATCH_BYTES = 16 << 20  # of rows that travel to Python at a time
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -62,7 +62,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 def few_texts_at_a_time(spark: SparkSession) -> None:
     """From now on the session's jobs hold some megabytes of whole texts at a time where
     they go to Python and where they are written, in place of 10,000 rows and 128 MB."""
-    spark.conf.set(ARROW_BYTES, str(BATCH_BYTES))
+    spark.conf.set(ARROW_BYTES, str(BATCH_BYTES // 2))
     spark.conf.set("parquet.block.size", str(ROW_GROUP))
 
 

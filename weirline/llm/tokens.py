@@ -32,6 +32,7 @@ BEHIND_SPACE = rf"^ [^{WHITE}]"
 _WHITE = re.sub(r"x\{(\w+)\}", lambda m: "u" + m[1].zfill(4), WHITE)
 CHUNK = re.compile(rf" ?[^{_WHITE}]+|[{_WHITE}]+(?![^{_WHITE}])|[{_WHITE}]")
 ANY_WHITE = re.compile(f"[{_WHITE}]")
+OTHER_WHITE = re.compile(f"(?!\n)[{_WHITE}]")
 NOTHING = pa.array([b""], pa.binary())
 LONGEST_CACHED = 256  # characters of a text that is kept
 BATCH_BYTES = 1 << 24  # of text that is split at a time
@@ -48,6 +49,9 @@ def _parts(word: str) -> list[tuple[list[str], str, bool, str]]:
     letters before it)."""
     if not ANY_WHITE.search(word):
         return [([], *_marked(word, False))]
+    if not OTHER_WHITE.search(word) and all(lines := word.split("\n")):
+        first, *rest = lines
+        return [([], *_marked(first, False)), *(([], *_marked(f"\n{x}", False)) for x in rest)]
     out, white = [], []
     for piece in CHUNK.findall(word):
         if ANY_WHITE.match(piece):
