@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weirline.settings import Settings
@@ -47,6 +47,35 @@ def classify(df: DataFrame, settings: Settings, region: str = "region") -> DataF
     )
 
 
+RULE_TABLE = "priority int, region string, leakage_type string, risk_level string"
+
+
+def rule_rows(spark: SparkSession, settings: Settings) -> DataFrame:
+    """The region rules as a table: a priority each, and a last row without a region that
+    holds where no other does."""
+    rules = [(i, name, *rule) for i, (name, rule) in enumerate(settings.region_rules.items())]
+    return spark.createDataFrame([*rules, (len(rules), None, *settings.default_rule)], RULE_TABLE)
+
+
+def classify_by_table(df: DataFrame, rules: DataFrame, region: str = "region") -> DataFrame:
+    """``classify`` with rules that are kept as data.
+
+    Of several rules for a region the one with the least priority holds (of equal priorities
+    the least label pair); a rule without a region is the default, and without one there is
+    no label. Regions compare as the column's collation has it. The rules are reduced to one a
+    region before the join, so no row of ``df`` is repeated; the join is planned by size, and
+    the default is one row, read as a scalar."""
+    verdict = F.struct("priority", "leakage_type", "risk_level")
+    default = rules.where(F.col("region").isNull()).agg(F.min(verdict).alias("rule")).scalar()
+    names = rules.where(F.col("region").isNotNull())
+    kind = df.schema[region].dataType
+    known = names.groupBy(F.col("region").cast(kind).alias("_ruled")).agg(F.min(verdict).alias("_rule"))
+    ruled = df.join(known, F.col(region) == F.col("_ruled"), "left")
+    ruled = ruled.withColumn("_rule", F.coalesce("_rule", default))
+    labels = {label: F.col(f"_rule.{label}") for label in ("leakage_type", "risk_level")}
+    return ruled.withColumns(labels).drop("_ruled", "_rule")
+
+
 def sum_where(condition: Column, value: Column) -> Column:
     """Conditional sum: 0, not NULL, where no row of the group matches."""
     return F.sum(F.when(condition, value).otherwise(F.lit(0).cast("bigint")))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from weirline.functions.dates import month_start
 from weirline.operators.audit import PassingRows, observed_audit, quality_report, row_counts
 from weirline.plans import gold, marts, measures, silver
+from weirline.plans.drift import inferred_types, orphan_order_lines, refuse_drift
 from weirline.settings import Settings
 from weirline.sources.files import read_raw, write_csv
 from weirline.sources.schemas import RAW_COLUMNS
@@ -148,11 +149,16 @@ def run(
     replacement_events: DataFrame | None = None,
     multi_line: bool = False,
     database: JdbcTarget | None = None,
+    check_types: bool = False,
 ) -> Built:
     """Full refresh, all or nothing under a warehouse folder. ``replacement_events`` takes the place of the cleaned events
     before the funnel is built (truncate and reload). ``multi_line`` allows line breaks
-    inside quoted fields of the extracts. Every table is copied to ``database``, if given."""
+    inside quoted fields of the extracts. Every table is copied to ``database``, if given.
+    ``check_types`` reads the extracts once more, before anything is built: it infers what
+    their columns hold, and refuses the run where that is not what is declared."""
     raw = read_extracts(spark, raw_dir, multi_line)
+    if check_types:
+        refuse_drift(inferred_types(raw, settings))
     with warehouse.refresh() as fresh:
         tables, passed = build_silver(raw, fresh, settings, clean_csv_dir)
         audit = fresh.write(observed_audit(spark, passed), "etl_audit")
@@ -161,11 +167,21 @@ def run(
         if replacement_events is not None:
             tables["stg_web_events"] = fresh.write(replacement_events, "stg_web_events")
         tables = build_gold(tables, fresh, settings)
+        orphans = fresh.write(
+            orphan_order_lines(
+                gold.keyed(tables["stg_orders"], settings),
+                gold.keyed(tables["dim_product"], settings),
+            ),
+            "orphan_order_lines",
+        )
         results = {
             name: fresh.write(df, name) for name, df in build_measures(tables, settings).items()
         }
     views = build_views(marts.view_queries(settings), tables, warehouse)
-    checks = {**build_checks(tables, settings), "quality_report": quality, "etl_audit": audit}
+    checks = {
+        **build_checks(tables, settings), "quality_report": quality, "etl_audit": audit,
+        "orphan_order_lines": orphans,
+    }
     if database is not None:
         for name, df in tables.items():
             write_jdbc(df, database.url, name, database.properties, settings.text_width)

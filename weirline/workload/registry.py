@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from weirline.functions import dates, numbers, text
 from weirline.operators import audit, median, rows, rules
-from weirline.plans import gold, marts, measures, silver
+from weirline.plans import drift, gold, marts, measures, silver
 from weirline.settings import Settings
 from weirline.sources import files
 from weirline.sources.schemas import LINE, POSITION
@@ -194,6 +194,26 @@ def _leakage_classify(f: Frames) -> DataFrame:
     return rules.classify(counted, f.settings)
 
 
+def _leakage_classify_rules(f: Frames) -> DataFrame:
+    buyers = f.tables.customer_region
+    counted = buyers.groupBy("region").agg(F.count(F.lit(1)).alias("customers"))
+    return rules.classify_by_table(counted, rules.rule_rows(f.tables.spark, f.settings))
+
+
+def _inferred_types(f: Frames) -> DataFrame:
+    """The five extracts, and events whose counts are texts that no cleaning expects."""
+    events = f.table("events").select("event_id", b.count_text().alias("count"))
+    declared = drift.declared_kinds(f.settings)
+    declared["drifted_events"] = {"event_id": "integer", "count": "float"}
+    raw = {**b.raw_tables(f.tables), "drifted_events": events}
+    return drift.inferred_types(raw, f.settings, declared)
+
+
+def _orphan_order_lines(f: Frames) -> DataFrame:
+    """Sales of products that are on every eleventh number, missing in the product table."""
+    return drift.orphan_order_lines(f.orders, f.products.where("product_id % 11 <> 0"))
+
+
 def _collation_group(f: Frames) -> DataFrame:
     segment = text.strip(F.col("segment")).alias("segment")
     return rules.count_ignoring_case(f.raw("customers").select(segment), "segment")
@@ -244,7 +264,10 @@ PLANS: dict[str, Callable[[Frames], DataFrame]] = {
     "median_order_value": _median_order_value,
     "csv_text_round_trip": _csv_text_round_trip,
     "leakage_classify": _leakage_classify,
+    "leakage_classify_rules": _leakage_classify_rules,
     "collation_group": _collation_group,
+    "inferred_types": _inferred_types,
+    "orphan_order_lines": _orphan_order_lines,
     "target_uplift": lambda f: gold.target_uplift(f.clean("targets"), f.settings),
     "etl_audit": lambda f: silver.etl_audit(b.raw_tables(f.tables), f.settings),
     "quality_report": _quality_report,
