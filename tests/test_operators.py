@@ -91,9 +91,55 @@ def test_median_equals_sorting(spark, dtype, scale):
         assert abs(got - exact) <= Decimal(5).scaleb(-scale - 1)
 
 
-def test_median_wants_a_bounded_decimal(spark):
+def test_median_wants_numbers(spark):
     with pytest.raises(TypeError):
-        exact_median(spark.createDataFrame([(1.0,)], "m double"), "m")
+        exact_median(spark.createDataFrame([("1.0",)], "m string"), "m")
+
+
+@pytest.mark.parametrize(
+    "name,make",
+    [
+        ("even spread", lambda rng: rng.random()),
+        ("powers", lambda rng: 10.0 ** rng.randint(-300, 300) * rng.choice([-1, 1])),
+        ("close to one value", lambda rng: 1 + rng.randint(0, 2000) * 2.0**-52),
+        ("a hot value", lambda rng: 0.5 if rng.random() < 0.4 else rng.random()),
+        ("two values", lambda rng: rng.choice([-0.0, 3.0])),
+    ],
+)
+def test_median_of_doubles_equals_sorting(spark, name, make):
+    for size in (30_000, 30_001):
+        rng = random.Random(size)
+        nums = [make(rng) for _ in range(size)]
+        dirty = [(x,) for x in [*nums, float("nan"), None, float("nan")]]
+        df = spark.createDataFrame(dirty, "m double").repartition(11)
+        a, b = sorted(nums)[(size - 1) // 2], sorted(nums)[size // 2]
+        assert one(exact_median(df, "m"))["median"] == (a if a == b else a / 2 + b / 2), name
+
+
+def test_median_of_doubles_at_the_edges(spark):
+    inf = float("inf")
+    for nums, want in (
+        ([1.7e308, 1.7e308 - 1e293], 1.7e308 / 2 + (1.7e308 - 1e293) / 2),
+        ([-inf, 2.0, inf], 2.0),
+        ([float("nan"), None], None),
+    ):
+        df = spark.createDataFrame([(x,) for x in nums], "m double")
+        assert one(exact_median(df, "m"))["median"] == want
+    small = spark.createDataFrame([(0.5,), (0.25,)], "m float")
+    assert one(exact_median(small, "m"))["median"] == 0.375
+
+
+def test_median_of_long_decimals(spark):
+    # Values that are one and the same double, and a sum of 37 digits.
+    base = Decimal("123456789012345678901234567890.0000")
+    near = [base + Decimal(i).scaleb(-4) for i in range(-900, 1100)]
+    random.Random(1).shuffle(near)
+    got = one(exact_median(_decimals(spark, near, "decimal(38,4)").repartition(5), "m"))
+    assert got["median"] == base + Decimal("0.0100")  # of 99 and 100, half up
+    wide = [Decimal("9" * 28 + ".12345678"), Decimal("9" * 28 + ".12345679")]
+    assert one(exact_median(_decimals(spark, wide, "decimal(36,8)"), "m"))["median"] == wide[1]
+    same = [Decimal("9" * 38)] * 3
+    assert one(exact_median(_decimals(spark, same, "decimal(38,0)"), "m"))["median"] == same[0]
 
 
 def test_fill_median_keeps_all_null_null(spark):

@@ -38,27 +38,30 @@ def test_no_python_and_no_cross_join(plans):
             assert bad not in plan, (name, bad)
 
 
-def test_only_the_two_median_blocks_are_broadcast(plans):
+def test_only_the_two_median_slots_are_broadcast(plans):
     for name, plan in plans.items():
         joins = re.findall(r"BroadcastHashJoin \[(\w+)", plan)
-        assert set(joins) <= {"_parent"}, (name, joins)
+        assert set(joins) <= {"_slot"}, (name, joins)
 
 
 def test_order_lines_are_read_once(plans):
     for name, plan in plans.items():
-        if name == "median_order_value":
-            continue  # a scan per five digits; see below
+        if name.startswith("median_"):
+            continue  # two scans; see below
         assert len(re.findall(r"FileScan parquet .*lineitem\.parquet", plan)) <= 1, name
 
 
-def test_median_shuffles_prefixes_not_values(plans):
-    """Each hash exchange of the median stands on a partial count by digit prefix."""
-    plan = plans["median_order_value"]
-    assert len(re.findall(r"FileScan parquet .*lineitem\.parquet", plan)) == 4
-    lines = plan.splitlines()
-    for above, below in zip(lines, lines[1:]):
-        if "Exchange hashpartitioning" in above and "_parent" not in above.split("hashpartitioning")[1][:9]:
-            assert re.search(r"HashAggregate.*partial_count", below) or "Window" in below, below
+def test_median_reads_twice_and_shuffles_counts(plans):
+    """A scan for the bracket and one for the counts, whose shuffle all other steps reuse;
+    what travels are sketches and counts, combined before."""
+    for name in ("median_order_value", "median_double"):
+        plan = plans[name]
+        assert len(re.findall(r"FileScan parquet .*lineitem\.parquet", plan)) == 2, name
+        assert plan.count("ReusedExchange") == 2, name
+        lines = plan.splitlines()
+        for above, below in zip(lines, lines[1:]):
+            if "- Exchange " in above and "hashpartitioning(_slot" not in above:
+                assert "Aggregate(" in below, (name, below)
 
 
 def test_order_line_scans_are_pruned(plans):

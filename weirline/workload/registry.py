@@ -174,6 +174,13 @@ def _median_order_value(f: Frames) -> DataFrame:
     return median.exact_median(f.table("lineitem").select(price), "price")
 
 
+def _median_double(f: Frames) -> DataFrame:
+    """Net prices as they come, in doubles; those of every tenth order are NaN."""
+    net = F.col("l_extendedprice") * (1 - F.col("l_discount"))
+    price = F.when(F.col("l_orderkey") % 10 == 0, F.lit(float("nan"))).otherwise(net)
+    return median.exact_median(f.table("lineitem").select(price.alias("price")), "price")
+
+
 def _csv_text_round_trip(f: Frames) -> DataFrame:
     """Texts with quotes, edge spaces, line breaks and more, to CSV records and back."""
     schema = "c_custkey bigint, text string"
@@ -262,6 +269,7 @@ PLANS: dict[str, Callable[[Frames], DataFrame]] = {
     "count_to_int": _count_to_int,
     "nan_to_missing": _nan_to_missing,
     "median_order_value": _median_order_value,
+    "median_double": _median_double,
     "csv_text_round_trip": _csv_text_round_trip,
     "leakage_classify": _leakage_classify,
     "leakage_classify_rules": _leakage_classify_rules,
