@@ -32,6 +32,7 @@ from weirline.llm.tokens import WORD_BYTES, ChunkEncoder, spelled
 
 ROWS_PER_BUCKET = 200_000
 PIECE_BATCH = 1000
+KEYS_AT_A_TIME = 1 << 14  # the tokenizer holds some hundred bytes a token while it works
 BUCKET, PLACE, FIRST, SLOT = "pack bucket", "pack place", "pack first", "pack slot"
 
 
@@ -50,8 +51,12 @@ def _encoder(path: str) -> ChunkEncoder:
         return np.array(found.ids, "<u4")
 
     def keys(missing: list[str]) -> list[bytes]:
-        if not missing:
-            return []
+        out = []
+        for at in range(0, len(missing), KEYS_AT_A_TIME):
+            out += some_keys(missing[at : at + KEYS_AT_A_TIME])
+        return out
+
+    def some_keys(missing: list[str]) -> list[bytes]:
         ids = encode("".join(map(spelled, missing)))
         places = np.flatnonzero(starts[ids])
         if len(places) != len(missing):  # a special token hides a mark, or a key has several
