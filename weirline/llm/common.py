@@ -48,13 +48,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, batch_bytes: int = BATCH_BYTES) -> DataFrame:
     """Like ``cut``, as a compressed columnar table for wide rows; the files stay
     in the shared folder, which the cluster has to expire."""
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     # A task holds a row group of whole texts in memory, twice while it grows.
-    with small_batches(spark):
+    with small_batches(spark, batch_bytes):
         df.write.option("compression", "zstd").option("parquet.block.size", ROW_GROUP).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -67,10 +67,10 @@ def few_texts_at_a_time(spark: SparkSession) -> None:
 
 
 @contextlib.contextmanager
-def small_batches(spark: SparkSession) -> Iterator[None]:
+def small_batches(spark: SparkSession, batch_bytes: int = BATCH_BYTES) -> Iterator[None]:
     """While whole texts are written, few of them travel to Python at a time."""
     before = spark.conf.get(ARROW_BYTES, None)
-    spark.conf.set(ARROW_BYTES, str(BATCH_BYTES))
+    spark.conf.set(ARROW_BYTES, str(batch_bytes))
     try:
         yield
     finally:

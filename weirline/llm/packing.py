@@ -32,6 +32,7 @@ from weirline.llm.tokens import WORD_BYTES, ChunkEncoder, spelled
 
 ROWS_PER_BUCKET = 200_000
 PIECE_BATCH = 1000
+TEXT_BYTES = 1 << 25  # of text that is encoded at a time, if as much comes in a batch
 KEYS_AT_A_TIME = 1 << 14  # the tokenizer holds some hundred bytes a token while it works
 BUCKET, PLACE, FIRST, SLOT = "pack bucket", "pack place", "pack first", "pack slot"
 
@@ -64,7 +65,7 @@ def _encoder(path: str) -> ChunkEncoder:
         data, ends = ids.tobytes(), [*(places[1:] * WORD_BYTES).tolist(), len(ids) * WORD_BYTES]
         return [data[a:b] for a, b in zip((places * WORD_BYTES).tolist(), ends, strict=True)]
 
-    return ChunkEncoder(keys, lambda text: encode(text).tobytes())
+    return ChunkEncoder(keys, lambda text: encode(text).tobytes(), batch_bytes=TEXT_BYTES)
 
 
 def token_pieces(

@@ -35,7 +35,7 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     digests = pieces.select(
         "doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")
     )
-    return packing.pack(stored(digests, "op1-pieces"))
+    return packing.pack(stored(digests, "op1-pieces", packing.TEXT_BYTES))
 
 
 QUALITY_AT_LEAST = 0.3

@@ -82,7 +82,9 @@ class ChunkEncoder:
         encode_keys: Callable[[list[str]], list[bytes]],
         encode_text: Callable[[str], bytes],
         max_cached: int = 1_500_000,
+        batch_bytes: int = BATCH_BYTES,
     ):
+        self.batch_bytes = batch_bytes
         self.encode_keys, self.encode_text, self.max_cached = encode_keys, encode_text, max_cached
         self.words, self.ids = pa.array([], pa.string()), pa.array([], pa.binary())
         self.texts: dict[str, bytes] = {}  # ids of first words and of marks
@@ -98,7 +100,7 @@ class ChunkEncoder:
         start = 0
         while start < len(texts):
             base = ends[start - 1] if start else 0
-            stop = max(start + 1, int(np.searchsorted(ends, base + BATCH_BYTES)))
+            stop = max(start + 1, int(np.searchsorted(ends, base + self.batch_bytes)))
             yield from self._batch(texts.slice(start, stop - start))
             start = stop
 
