@@ -49,3 +49,27 @@ def test_words_around_a_run_come_from_the_table():
     lines = [f"    value{i % 7} = word{i % 11}\n\n" for i in range(300)]
     list(encoder.each(pa.array(["".join(lines)] * 3)))
     assert len(asked) < 60
+
+
+def test_marks_and_lines_are_cut_without_a_call_a_word(monkeypatch):
+    cut, parts = [], tokens._parts
+    monkeypatch.setattr(tokens, "_parts", lambda word: cut.append(word) or parts(word))
+    some = [f"One{i} two{i}, three.\nFour{i}. five{i}.\n\nSix, 7{i}. é{i}é." for i in range(50)]
+    found = list(packing._encoder(BYTE).each(pa.array(some)))
+    library = Tokenizer.from_file(BYTE)
+    want = [e.ids for e in library.encode_batch_fast(some, add_special_tokens=False)]
+    assert [np.frombuffer(f, "<u4").tolist() for f in found] == want
+    assert cut == [f"five{i}.\n\nSix," for i in range(50)]  # only these have an empty line
+
+
+def test_parts_met_before_and_tables_that_overflow():
+    rng = random.Random(7)
+    words = ["ab", "ab.", "ab,", "ab.\nab,", "\nab.", "é.", "3.", "..", "x\ny", "x.\n", "a\u3000b.", "\t,"]
+    some = [" ".join(rng.choices(words, k=rng.randrange(1, 9))) for _ in range(400)]
+    library = Tokenizer.from_file(BYTE)
+    want = [e.ids for e in library.encode_batch_fast(some, add_special_tokens=False)]
+    for batch_bytes, most in [(1, 4), (60, 10), (60, 1000), (1 << 20, 4)]:
+        encoder = packing._encoder(BYTE)
+        encoder.batch_bytes, encoder.max_cached = batch_bytes, most
+        found = encoder.each(pa.array(some))
+        assert [np.frombuffer(f, "<u4").tolist() for f in found] == want

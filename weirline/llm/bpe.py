@@ -262,7 +262,10 @@ def text_encoder(ranks: dict[bytes, int], pattern: str) -> ChunkEncoder:
             ids += machine.encode(piece.encode("utf-8", "replace"))
         return packed(ids)
 
-    return ChunkEncoder(lambda keys: [encode(spelled(k)) for k in keys], encode)
+    def keys(missing: pa.Array) -> pa.Array:
+        return pa.array(map(encode, spelled(missing).to_pylist()), pa.binary())
+
+    return ChunkEncoder(keys, encode)
 
 
 def encode(text: Column, ranks_path: str, pattern: str) -> Column:

@@ -23,12 +23,13 @@ from itertools import islice
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from weirline.llm.common import freeing
-from weirline.llm.tokens import WORD_BYTES, ChunkEncoder, spelled
+from weirline.llm.tokens import NOTHING, WORD_BYTES, ChunkEncoder, spelled
 
 ROWS_PER_BUCKET = 200_000
 PIECE_BATCH = 1000
@@ -51,19 +52,21 @@ def _encoder(path: str) -> ChunkEncoder:
         (found,) = tokenizer.encode_batch_fast([text], add_special_tokens=False)
         return np.array(found.ids, "<u4")
 
-    def keys(missing: list[str]) -> list[bytes]:
-        out = []
-        for at in range(0, len(missing), KEYS_AT_A_TIME):
-            out += some_keys(missing[at : at + KEYS_AT_A_TIME])
-        return out
+    def keys(missing: pa.Array) -> pa.Array:
+        texts = spelled(missing)
+        slices = [texts.slice(a, KEYS_AT_A_TIME) for a in range(0, len(texts), KEYS_AT_A_TIME)]
+        return pa.concat_arrays([NOTHING.slice(1), *map(some_keys, slices)])
 
-    def some_keys(missing: list[str]) -> list[bytes]:
-        ids = encode("".join(map(spelled, missing)))
+    def some_keys(texts: pa.Array) -> pa.Array:
+        whole = pa.ListArray.from_arrays(pa.array([0, len(texts)], pa.int32()), texts)
+        ids = encode(pc.binary_join(whole, "")[0].as_py())
         places = np.flatnonzero(starts[ids])
-        if len(places) != len(missing):  # a special token hides a mark, or a key has several
-            return [encode(spelled(k)).tobytes() for k in missing]
-        data, ends = ids.tobytes(), [*(places[1:] * WORD_BYTES).tolist(), len(ids) * WORD_BYTES]
-        return [data[a:b] for a, b in zip((places * WORD_BYTES).tolist(), ends, strict=True)]
+        if len(places) != len(texts):  # a special token hides a mark, or a key has several
+            return pa.array([encode(t).tobytes() for t in texts.to_pylist()], pa.binary())
+        ends = pa.array(np.append(places, len(ids)) * WORD_BYTES, pa.int32())
+        return pa.BinaryArray.from_buffers(
+            pa.binary(), len(texts), [None, ends.buffers()[1], pa.py_buffer(ids)]
+        )
 
     return ChunkEncoder(keys, lambda text: encode(text).tobytes(), batch_bytes=TEXT_BYTES)
 

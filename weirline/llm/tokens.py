@@ -10,6 +10,10 @@ A word that a run of white space follows is cut, together with the run, where th
 pattern cuts: a run but for its last character is a piece, and the last goes with the
 word behind it if it is a space. The parts behind a space are looked up in the same
 table, the others in one of their own; the words around are not affected.
+
+Of a new word with line breaks or a mark behind its letters only the parts are looked up
+and encoded; those words are cut and joined by Arrow too, but for the few with other white
+space or empty lines.
 """
 
 from __future__ import annotations
@@ -23,35 +27,33 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 MARKS = ".,"
-# White space of the pattern (Unicode's White_Space; fixed values).
-WHITE = (
-    r"\t-\r \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+MARKED = r"\p{L}[.,]$"
+# White space of the pattern (Unicode's White_Space; fixed values), the line break apart.
+NO_BREAK = (
+    r"\t\v-\r \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 )
+WHITE = rf"\n{NO_BREAK}"
 RUN = rf"^([{WHITE}]|$)"
 BEHIND_SPACE = rf"^ [^{WHITE}]"
 _WHITE = re.sub(r"x\{(\w+)\}", lambda m: "u" + m[1].zfill(4), WHITE)
 CHUNK = re.compile(rf" ?[^{_WHITE}]+|[{_WHITE}]+(?![^{_WHITE}])|[{_WHITE}]")
 ANY_WHITE = re.compile(f"[{_WHITE}]")
-OTHER_WHITE = re.compile(f"(?!\n)[{_WHITE}]")
+ODD = rf"[{NO_BREAK}]|\n\n|\n$"  # a word whose parts are not simply its lines
 NOTHING = pa.array([b""], pa.binary())
 LONGEST_CACHED = 256  # characters of a text that is kept
 BATCH_BYTES = 1 << 24  # of text that is split at a time
 WORD_BYTES = 4  # ids are unsigned, little-endian, 32 bits
 
 
-def spelled(key: str) -> str:
-    return key if key[0] == "\n" else f" {key}"
+def spelled(keys: pa.Array) -> pa.Array:
+    behind_space = pc.binary_join_element_wise(" ", keys, "")
+    return pc.if_else(pc.starts_with(keys, "\n"), keys, behind_space)
 
 
 def _parts(word: str) -> list[tuple[list[str], str, bool, str]]:
-    """What a word consists of: white space on its own, a key, whether the line break of
+    """What an odd word consists of: white space on its own, a key, whether the line break of
     the key is not in the word, and the mark behind it (the pattern parts a mark from the
     letters before it)."""
-    if not ANY_WHITE.search(word):
-        return [([], *_marked(word, False))]
-    if not OTHER_WHITE.search(word) and all(lines := word.split("\n")):
-        first, *rest = lines
-        return [([], *_marked(first, False)), *(([], *_marked(f"\n{x}", False)) for x in rest)]
     out, white = [], []
     for piece in CHUNK.findall(word):
         if ANY_WHITE.match(piece):
@@ -73,13 +75,13 @@ def _marked(key: str, bare: bool) -> tuple[str, bool, str]:
 
 
 class ChunkEncoder:
-    """``encode_keys(keys)`` gives the packed ids of each key, ``encode_text(text)`` those
-    of any text on its own. A key is a word as it stands behind a space, or, if it
-    starts with a line break, behind that; ``spelled`` gives its text."""
+    """``encode_keys(keys)`` gives the packed ids of each key (binary), ``encode_text(text)``
+    those of any text on its own. A key is a word as it stands behind a space, or, if it
+    starts with a line break, behind that; ``spelled`` gives the keys' texts."""
 
     def __init__(
         self,
-        encode_keys: Callable[[list[str]], list[bytes]],
+        encode_keys: Callable[[pa.Array], pa.Array],
         encode_text: Callable[[str], bytes],
         max_cached: int = 1_500_000,
         batch_bytes: int = BATCH_BYTES,
@@ -161,20 +163,20 @@ class ChunkEncoder:
         absent = pc.is_null(at)
         run = pc.match_substring_regex(words, RUN)  # a key of the table may look like one
         absent = pc.and_not(absent, run)
-        parted = pc.and_(absent, pc.match_substring_regex(words, rf"[{WHITE}]|[.,]$"))
-        plain = pc.and_not(absent, parted)
-        simple, joined = words.filter(plain), words.filter(parted)
-        simple_ids = self.encode_keys(simple.to_pylist())
-        joined_ids, keys, key_ids = self._encode(joined.to_pylist(), simple, simple_ids)
-
-        new = [simple, joined, pa.array(keys, pa.string())]
-        known = pa.concat_arrays([self.words, *new])
-        new_ids = [pa.array(i, pa.binary()) for i in (simple_ids, joined_ids, key_ids)]
-        ids = pa.concat_arrays([self.ids, *new_ids, pa.array([b""], pa.binary())])
+        odd = pc.and_(absent, pc.match_substring_regex(words, ODD))
+        lined = pc.and_not(absent, odd)
+        lined = pc.and_(lined, pc.match_substring_regex(words, rf"\n|{MARKED}"))
+        masks = [pc.and_not(pc.and_not(absent, odd), lined), lined, odd]
+        new = [words.filter(mask) for mask in masks]
+        new_ids = [self.encode_keys(new[0])]
+        *joined_ids, keys, key_ids = self._encode(*new, new_ids[0])
+
+        known = pa.concat_arrays([self.words, *new, keys])
+        ids = pa.concat_arrays([self.ids, *new_ids, *joined_ids, key_ids, NOTHING])
         where = pc.fill_null(at, len(ids) - 1).to_numpy().copy()
         where[run.to_numpy(zero_copy_only=False)] = len(ids) - 1
         start = len(self.words)
-        for mask, part in ((plain, simple), (parted, joined)):
+        for mask, part in zip(masks, new, strict=True):
             where[mask.to_numpy(zero_copy_only=False)] = start + np.arange(len(part))
             start += len(part)
         out = ids.take(pa.array(where))
@@ -186,43 +188,48 @@ class ChunkEncoder:
         self.words, self.ids = known, ids.slice(0, len(known))
         return out, np.flatnonzero(run.to_numpy(zero_copy_only=False)).tolist()
 
-    def _encode(self, words: list[str], simple: pa.Array, simple_ids: list[bytes]):
-        """Ids of words with line breaks or marks, from those of their parts, which may be
-        known; and the parts that were not."""
-        parts = [_parts(word) for word in words]
-        known = dict.fromkeys(key for own in parts for _, key, _, _ in own if key)
-        keys = pa.array(known, pa.string())
-        ids = dict(
-            zip(
-                keys.to_pylist(),
-                self.ids.take(pc.index_in(keys, value_set=self.words)).to_pylist(),
-                strict=True,
-            )
-        )
-        again = pc.index_in(keys, value_set=simple)
-        for key, at in zip(list(ids), again.to_pylist(), strict=True):
-            if at is not None:
-                ids[key] = simple_ids[at]
-        new = [key for key, known in ids.items() if known is None]
+    def _encode(
+        self, simple: pa.Array, lined: pa.Array, odd: pa.Array, simple_ids: pa.Array
+    ) -> tuple[pa.Array, pa.Array, pa.Array, pa.Array]:
+        """Ids of words with line breaks or marks (``lined``, ``odd``), from those of their
+        parts, which may be known; and the parts that were not, with theirs."""
+        lines = pc.split_pattern(lined, "\n")
+        bounds = np.concatenate([[0], np.cumsum(pc.list_value_length(lines).to_numpy())])
+        first = np.zeros(bounds[-1], bool)
+        first[bounds[:-1]] = True
+        flat = lines.flatten()
+        flat = pc.if_else(pa.array(first), flat, pc.binary_join_element_wise("\n", flat, ""))
+        marked = pc.match_substring_regex(flat, MARKED)
+        cut = pc.if_else(marked, pc.utf8_slice_codeunits(flat, 0, -1), flat)
+        mark = pc.index_in(pc.utf8_slice_codeunits(flat, -1), value_set=pa.array([*MARKS]))
+        mark = pc.if_else(marked, mark, len(MARKS))
+        parts = [_parts(word) for word in odd.to_pylist()]
+        odd_keys = list(dict.fromkeys(key for own in parts for _, key, _, _ in own if key))
+
+        coded = pa.concat_arrays([cut, pa.array(odd_keys, pa.string())]).dictionary_encode()
+        keys = coded.dictionary
+        met = self.ids.take(pc.index_in(keys, value_set=self.words))
+        met = pc.coalesce(met, simple_ids.take(pc.index_in(keys, value_set=simple)))
+        unmet = pc.is_null(met)
+        new = keys.filter(unmet)
         new_ids = self.encode_keys(new)
-        ids.update(zip(new, new_ids, strict=True))
-        ids[""] = b""
+        ids = pc.replace_with_mask(met, unmet, new_ids).take(coded.indices)
+
+        marks = pa.array([*map(self._text, MARKS), b""], pa.binary())
+        whole = pc.binary_join_element_wise(ids.slice(0, len(flat)), marks.take(mark), b"")
+        whole = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), whole)
+        of_key = dict(zip(odd_keys, ids.slice(len(flat)).to_pylist(), strict=True)) | {"": b""}
         line_break = len(self._text("\n"))
 
         def joined(own: list[tuple[list[str], str, bool, str]]) -> bytes:
-            if len(own) == 1 and not own[0][0]:
-                return ids[own[0][1]] + self._text(own[0][3])
             out = []
             for white, key, bare, mark in own:
                 out += map(self._text, white)
-                out.append(ids[key][line_break:] if bare else ids[key])
+                out.append(of_key[key][line_break:] if bare else of_key[key])
                 out.append(self._text(mark))
             return b"".join(out)
 
-        whole = [joined(own) for own in parts]
-        own_keys = set(words)  # a word that is its own key is kept once
-        kept = [(k, i) for k, i in zip(new, new_ids, strict=True) if k not in own_keys]
-        return whole, [k for k, _ in kept], [i for _, i in kept]
+        return pc.binary_join(whole, b""), pa.array(map(joined, parts), pa.binary()), new, new_ids
 
     def _chunks(self, texts: list[str]) -> Iterator[bytes]:
         """Packed ids of texts with runs of white space, piece by piece."""
